@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from html.entities import name2codepoint
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,8 +13,9 @@ _REFERENCE = r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]{0,31});"
 def named_entity(name: Column) -> Column:
     """Character of a named entity of HTML 4 (plus `apos`), null when unknown."""
     table = {"apos": ord("'"), **name2codepoint}
-    pairs = chain.from_iterable((F.lit(k), F.lit(chr(v))) for k, v in table.items())
-    return F.element_at(F.create_map(*pairs), name)
+    # One literal that the optimizer folds into a map.
+    listed = "\x1e".join(f"{k}\x1f{chr(v)}" for k, v in table.items())
+    return F.element_at(F.str_to_map(F.lit(listed), F.lit("\x1e"), F.lit("\x1f")), name)
 
 
 def code_point(cp: Column) -> Column:

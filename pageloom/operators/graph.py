@@ -10,15 +10,9 @@ from ..functions.ids import edge_id, title_key, vertex_id
 from ..functions.strings import strip_fragment
 
 
-def content_rank() -> list[Column]:
-    """What decides between pages of the same title: the later one, then a digest of
-    the content, so that the choice is the same on every run."""
-    return [
-        F.col("published_ts"),
-        F.md5("wikitext").alias("content_md5"),
-        F.col("title"),
-        F.col("file"),
-    ]
+# What decides between pages of the same title: the later one, then a digest of the
+# content, so that the choice is the same on every run.
+RANK_COLUMNS = ("published_ts", "content_md5", "title", "file")
 
 
 def all_links(pages: DataFrame, *carry: Column | str, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFrame:
@@ -103,16 +97,24 @@ def _property(
     )
 
 
-def _explode_properties(rows: DataFrame, properties: list[Column]) -> DataFrame:
-    return rows.select("vertex_id", F.inline(F.array(*properties)))
+def _explode_properties(
+    rows: DataFrame, properties: list[Column], carry: tuple[str, ...] = ()
+) -> DataFrame:
+    out = rows.select("vertex_id", *[F.col(c).alias(f"_{c}") for c in carry], F.inline(F.array(*properties)))
+    return out.withColumnsRenamed({f"_{c}": c for c in carry})
 
 
-def page_properties(pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFrame:
-    """The narrow properties of a page vertex; its raw bytes and text are `page_data`."""
+def page_properties(
+    pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """The narrow properties of a page vertex; its raw bytes and text are `page_data`.
+
+    `carry` names page columns that are wanted next to each property.
+    """
     mvk = cfg.multi_value_key
     published = F.col("published_ts")
     rows = _explode_properties(
-        pages.select("vertex_id", "title", "file", "source_url", "published_ts"),
+        pages,
         [
             _property(C.CONCEPT_TYPE, F.lit(cfg.page_concept_iri), cfg),
             _property(
@@ -133,14 +135,17 @@ def page_properties(pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) ->
                 value_ts=published,
             ),
         ],
+        carry,
     )
     return rows.where((F.col("name") != C.PUBLISHED_DATE) | F.col("value_ts").isNotNull())
 
 
-def page_data(pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFrame:
+def page_data(
+    pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """The large values of a page vertex: raw page (not indexed) and text."""
     return _explode_properties(
-        pages.select("vertex_id", "raw", "text"),
+        pages,
         [
             _property(
                 C.RAW, F.lit(None), cfg, value_bin=F.encode("raw", "UTF-8"), indexed=False
@@ -149,6 +154,7 @@ def page_data(pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataF
                 C.TEXT, F.col("text"), cfg, metadata={"textDescription": cfg.text_description}
             ),
         ],
+        carry,
     )
 
 

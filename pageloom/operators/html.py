@@ -61,6 +61,7 @@ def html_pages(html: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataF
         F.col("url").alias("source_url"),
         vertex_id(F.col("url"), cfg).alias("vertex_id"),
         F.lit(C.STATUS_OK).alias("status"),
+        F.md5("html").alias("content_md5"),
         "text",
         "links",
     )

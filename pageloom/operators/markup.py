@@ -23,7 +23,9 @@ exhaust the stack.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -386,34 +388,51 @@ def keep_apart(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline_outer(packed))
 
 
+@lru_cache(maxsize=1024)
+def _build(gateway: int, make: Callable[..., Column], *args: str) -> Column:
+    """Columns are plain descriptions: build each once per JVM, it is thousands of
+    calls otherwise each time a conversion is planned."""
+    return make(*(F.col(a) for a in args))
+
+
+def built(make: Callable[..., Column], *args: str) -> Column:
+    return _build(id(SparkContext._gateway), make, *args)
+
+
 def apply_rules(df: DataFrame, column: str, rules: Sequence[Rule]) -> DataFrame:
     """One projection per rule: a rule may mention its input several times, and the
     input must not be evaluated again each time."""
     for _, rule in rules:
-        df = df.withColumn(column, rule(F.col(column)))
+        df = df.withColumn(column, built(rule, column))
     return df
 
 
-def links_of_marked(df: DataFrame, marked: str, targets: str) -> DataFrame:
-    """Turn marked text plus the raw targets into `text` and `links`.
+def _cut(marked: Column) -> Column:
+    return F.split(marked, MARK)
 
-    Cutting at the marks gives text, link, text, link, ..., text; the lengths
-    before a piece add up to its offset.
-    """
 
+def _piece_lengths(pieces: Column) -> Column:
+    return F.transform(pieces, F.length)
+
+
+def _in_order(links: Column) -> Column:
+    return F.concat(
+        F.filter(links, lambda k: k["kind"] == C.KIND_LINK),
+        F.filter(links, lambda k: k["kind"] == C.KIND_REDIRECT),
+    )
+
+
+def _link_structs(targets: Column, pieces: Column, starts: Column, lengths: Column) -> Column:
     def odd(a: Column) -> Column:
         return F.filter(a, lambda _, i: i % 2 == 1)
 
-    df = df.withColumn("_pieces", F.split(F.col(marked), MARK))
-    df = df.withColumn("_lengths", F.transform("_pieces", F.length))
-    df = df.withColumn("_starts", sum_before(F.col("_lengths")))
     zipped = F.arrays_zip(
-        F.col(targets).alias("target"),
-        odd(F.col("_pieces")).alias("surface"),
-        odd(F.col("_starts")).alias("start"),
-        odd(F.col("_lengths")).alias("length"),
+        targets.alias("target"),
+        odd(pieces).alias("surface"),
+        odd(starts).alias("start"),
+        odd(lengths).alias("length"),
     )
-    links = F.transform(
+    return F.transform(
         zipped,
         lambda z: F.struct(
             F.when(F.startswith(z["target"], F.lit(REDIRECT)), F.lit(C.KIND_REDIRECT))
@@ -425,9 +444,20 @@ def links_of_marked(df: DataFrame, marked: str, targets: str) -> DataFrame:
             (z["start"] + z["length"]).alias("end"),
         ),
     )
+
+
+def links_of_marked(df: DataFrame, marked: str, targets: str) -> DataFrame:
+    """Turn marked text plus the raw targets into `text` and `links`.
+
+    Cutting at the marks gives text, link, text, link, ..., text; the lengths
+    before a piece add up to its offset.
+    """
+    df = df.withColumn("_pieces", built(_cut, marked))
+    df = df.withColumn("_lengths", built(_piece_lengths, "_pieces"))
+    df = df.withColumn("_starts", built(sum_before, "_lengths"))
     return (
         df.withColumn("text", F.array_join("_pieces", ""))
-        .withColumn("links", links)
+        .withColumn("links", built(_link_structs, targets, "_pieces", "_starts", "_lengths"))
         .drop("_pieces", "_lengths", "_starts")
     )
 
@@ -471,14 +501,10 @@ def convert_markup(
         df = df.withColumn(
             "links", F.filter("links", lambda k: ~F.startswith(k["target"], F.lit("#")))
         )
-    ordered = F.concat(
-        F.filter("links", lambda k: k["kind"] == C.KIND_LINK),
-        F.filter("links", lambda k: k["kind"] == C.KIND_REDIRECT),
-    )
     text = F.when(F.length("text") > 0, F.col("text")).otherwise(F.col("wikitext"))
-    converted = df.withColumn("links", ordered).withColumn("text", text)
+    converted = df.withColumn("links", built(_in_order, "links")).withColumn("text", text)
     packed = F.array(F.struct("text", "links"))
     kept = [c for c in converted.columns if c not in ("text", "links")]
     return converted.select(*kept, F.inline_outer(packed)).withColumn(
-        "residue", residue(F.col("text"))
+        "residue", built(residue, "text")
     )

@@ -1,7 +1,7 @@
 """Merging of rows that share a key, with one fixed order instead of "last write wins".
 
 A page row beats a row that was only derived from a link; among pages of the same
-title the later one wins, then the content digest (see `content_rank`). All merges
+title the later one wins, then the content digest (see `RANK_COLUMNS`). All merges
 combine on the map side first, so a key that holds a large share of the rows
 reaches the shuffle as one row per task.
 """
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .graph import (
+    RANK_COLUMNS,
     distinct_targets,
     page_properties,
     page_vertices,
@@ -22,19 +23,15 @@ from .graph import (
 )
 
 
-RANK_COLUMNS = ("published_ts", "content_md5", "title", "file")
-
-
 def current_pages(pages: DataFrame) -> DataFrame:
     """The winning page of each vertex. The rank filter limits each group before the
     shuffle as well, so a title with very many copies does not gather in one task."""
     order = [F.col(c).desc_nulls_last() for c in RANK_COLUMNS]
     w = Window.partitionBy("vertex_id").orderBy(*order)
     return (
-        pages.withColumn("content_md5", F.md5("wikitext"))
-        .withColumn("_rank", F.row_number().over(w))
+        pages.withColumn("_rank", F.row_number().over(w))
         .where(F.col("_rank") == 1)
-        .drop("_rank", "content_md5")
+        .drop("_rank")
     )
 
 
@@ -61,7 +58,7 @@ def edge_id_collisions(edges: DataFrame) -> DataFrame:
 def merge_mentions(links: DataFrame) -> DataFrame:
     """One link per (src, start, end): the one of the winning page, and in it the last.
 
-    Needs the columns of `content_rank` next to each link.
+    Needs `RANK_COLUMNS` next to each link.
     """
     return (
         links.groupBy("src", "start", "end")
@@ -84,8 +81,7 @@ def merge_targets(targets: DataFrame) -> DataFrame:
 def merge_properties(properties: DataFrame) -> DataFrame:
     """General merge of property rows: (vertex_id, name, key) is the identity.
 
-    Needs `own` (true for rows of the page itself) and the columns of
-    `content_rank`; rows that come from links carry nulls there.
+    Needs `own` (true for rows of the page itself) and `RANK_COLUMNS`; rows that come from links carry nulls there.
     """
     payload = ["value", "value_ts", "value_bin", "metadata", "indexed", "visibility"]
     order = ["own", *RANK_COLUMNS, "value"]

@@ -58,7 +58,8 @@ def build_pages(
     raw_pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG, rules: dict | None = None
 ) -> DataFrame:
     """Parse, convert and check: the table every graph builder starts from."""
-    return check_links(convert_markup(parse_pages(raw_pages, cfg), rules, cfg))
+    pages = check_links(convert_markup(parse_pages(raw_pages, cfg), rules, cfg))
+    return pages.withColumn("content_md5", F.md5("wikitext"))
 
 
 def good_pages(pages: DataFrame) -> DataFrame:

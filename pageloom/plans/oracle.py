@@ -209,14 +209,14 @@ replace(replace(replace(replace(regexp_replace(trim(regexp_replace(regexp_replac
 
 _PROPERTIES = f"""
 properties AS (
-    SELECT '{ID}' || name AS vertex_id, p.* FROM current_page, LATERAL (
+    SELECT '{ID}' || c.name AS vertex_id, p.* FROM current_page c, LATERAL (
         SELECT 'CONCEPT_TYPE' AS name, '' AS key, '{CFG.page_concept_iri}' AS value, '' AS metadata
-        UNION ALL SELECT 'TITLE', '{KEY}', title, 'confidence=0.4'
+        UNION ALL SELECT 'TITLE', '{KEY}', c.title, 'confidence=0.4'
         UNION ALL SELECT 'MIME_TYPE', '', '{CFG.mime_type}', ''
-        UNION ALL SELECT 'FILE_NAME', '', file, ''
+        UNION ALL SELECT 'FILE_NAME', '', c.file, ''
         UNION ALL SELECT 'SOURCE', '{KEY}', '{CFG.source}', ''
-        UNION ALL SELECT 'SOURCE_URL', '{KEY}', '{CFG.source_url_base}' || title, ''
-        UNION ALL SELECT 'PUBLISHED_DATE', '', strftime(ts, '%Y-%m-%dT%H:%M:%S'), ''
+        UNION ALL SELECT 'SOURCE_URL', '{KEY}', '{CFG.source_url_base}' || c.title, ''
+        UNION ALL SELECT 'PUBLISHED_DATE', '', strftime(c.ts, '%Y-%m-%dT%H:%M:%S'), ''
     ) p WHERE p.value IS NOT NULL
     UNION ALL
     SELECT vertex_id, p.* FROM vertices, LATERAL (

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +13,7 @@ from ..functions.strings import namespace, unescape_newlines
 from ..operators import graph as G
 from ..operators import layout as L
 from ..operators import merge as M
+from ..sources.stage import stage, work_dir
 from ..operators.html import html_pages
 from ..operators.joins import check_edge_types, resolve_links, stubs_only
 from ..operators.parse import build_pages, good_pages, import_counters, parse_pages, quarantine
@@ -35,20 +35,16 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        # A fresh name per run; the JVM makes it, so that no folder is touched here.
-        name = spark.sql("SELECT uuid()").first()[0]
-        return f"{shared.rstrip('/')}/pageloom-{name}"
-    return tempfile.mkdtemp(prefix="pageloom-")
-
-
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good_pages(build_pages(K.raw_corpus(spark, sf_dir)))
 
 
+def _good_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, converted once and written, for queries that read them repeatedly.
+    Each reader then scans only the columns it needs."""
+    return good_pages(stage(build_pages(K.raw_corpus(spark, sf_dir)), C.PAGES))
+
+
 def _lots(spark: SparkSession, sf_dir: str, style: str) -> DataFrame:
     return good_pages(build_pages(K.page_xml(K.pages_of(spark, sf_dir, "lineitem", style))))
 
@@ -162,17 +158,17 @@ def redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.graph_vertices(_pages(spark, sf_dir))
+    return M.graph_vertices(_good_stored(spark, sf_dir))
 
 
 @query
 def stub_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stubs_only(M.graph_vertices(_pages(spark, sf_dir))).select("vertex_id")
+    return stubs_only(M.graph_vertices(_good_stored(spark, sf_dir))).select("vertex_id")
 
 
 def _resolve(how: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        pages = _pages(spark, sf_dir)
+        pages = _good_stored(spark, sf_dir)
         known = G.page_vertices(pages).select("vertex_id").distinct().withColumn("is_stub", F.lit(False))
         return resolve_links(G.all_links(pages), known, how).select(
             "src", F.col("seq").cast("long").alias("seq"), "dst", "target"
@@ -183,7 +179,7 @@ def _resolve(how: str) -> Query:
 
 @query
 def vertex_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _pages(spark, sf_dir)
+    pages = _good_stored(spark, sf_dir)
     rows = M.graph_properties(
         M.current_pages(pages), G.distinct_targets(pages), M.graph_vertices(pages)
     )
@@ -216,7 +212,7 @@ def edge_id_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def term_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = G.all_links(_pages(spark, sf_dir), *G.content_rank())
+    links = G.all_links(_pages(spark, sf_dir), *G.RANK_COLUMNS)
     return G.term_mentions(M.merge_mentions(links)).select(
         "src_vertex_id",
         F.col("start_offset").cast("long").alias("start_offset"),
@@ -245,7 +241,7 @@ def stub_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def title_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _pages(spark, sf_dir)
+    pages = _good_stored(spark, sf_dir)
     own = M.title_candidates(G.page_properties(M.current_pages(pages)))
     return own.unionByName(_stub_titles(pages))
 
@@ -258,8 +254,7 @@ def best_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- keys and layout -------------------------------------------------------------
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    pages = _pages(spark, sf_dir)
+def _tables(pages: DataFrame) -> dict[str, DataFrame]:
     return {
         C.VERTICES: M.graph_vertices(pages),
         C.EDGES: M.merge_edges(G.link_pairs(pages)),
@@ -269,33 +264,34 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query
 def sink_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = L.rows_per_key(L.union_outputs(_tables(spark, sf_dir)))
+    keyed = L.rows_per_key(L.union_outputs(_tables(_good_stored(spark, sf_dir))))
     key = keyed.select(sink_key(F.col("table_name"), F.col("row_key")).alias("sink_key"), "n_rows")
     return key.select(split_key(F.col("sink_key")).alias("table_name"), "sink_key", "n_rows")
 
 
 @query
 def rows_per_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _tables(spark, sf_dir)
-    links = G.all_links(_pages(spark, sf_dir), *G.content_rank())
+    pages = _good_stored(spark, sf_dir)
+    tables = _tables(pages)
+    links = G.all_links(pages, *G.RANK_COLUMNS)
     tables[C.MENTIONS] = G.term_mentions(M.merge_mentions(links))
     return L.rows_per_table(L.union_outputs(tables))
 
 
 @query
 def title_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.title_buckets(M.graph_vertices(_pages(spark, sf_dir)))
+    return L.title_buckets(M.graph_vertices(_good_stored(spark, sf_dir)))
 
 
 @query
 def split_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.split_points(L.union_outputs(_tables(spark, sf_dir)))
+    return L.split_points(L.union_outputs(_tables(_good_stored(spark, sf_dir))))
 
 
 @query
 def range_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     laid_out = L.range_layout(
-        M.graph_vertices(_pages(spark, sf_dir)), L.ROW_KEYS[C.VERTICES], 8
+        M.graph_vertices(_good_stored(spark, sf_dir)), L.ROW_KEYS[C.VERTICES], 8
     )
     return laid_out.groupBy(F.spark_partition_id().alias("partition")).agg(
         F.min("vertex_id").alias("first_key"),
@@ -307,7 +303,7 @@ def range_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def edge_type_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers are given another concept; each of their edges must be reported."""
-    pages = _pages(spark, sf_dir)
+    pages = _good_stored(spark, sf_dir)
     concepts, relationships = default_ontology(spark)
     check_ontology(concepts, relationships)
     supplier = F.startswith("vertex_id", F.lit(C.DEFAULT_CONFIG.id_prefix + "Supplier "))
