@@ -47,6 +47,15 @@ def link_pairs(pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> Data
     return rows.where(F.col("target").isNotNull()).withColumn("dst", vertex_id(F.col("target"), cfg))
 
 
+def page_edges(pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFrame:
+    """(src, dst), each once per page."""
+    ends = F.array_distinct(
+        F.transform("links", lambda k: vertex_id(strip_fragment(k["target"]), cfg))
+    )
+    rows = pages.select(F.col("vertex_id").alias("src"), F.explode_outer(ends).alias("dst"))
+    return rows.where(F.col("dst").isNotNull())
+
+
 def distinct_targets(pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFrame:
     """Every link target once; all that is known about stubs follows from it."""
     return (

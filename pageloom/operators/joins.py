@@ -14,8 +14,9 @@ def is_small(df: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> bool:
 
 
 def small_or_shuffled(df: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFrame:
-    """Broadcast `df` only if it was counted and is small; else let it shuffle."""
-    return F.broadcast(df) if is_small(df, cfg) else df.hint("shuffle_hash")
+    """Broadcast `df` only if it was counted and is small; else the join shuffles and
+    adaptive execution splits its skewed partitions."""
+    return F.broadcast(df) if is_small(df, cfg) else df
 
 
 def _salt(columns: list[str], buckets: int) -> Column:

@@ -327,6 +327,14 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT 'audits', count(*) FROM corpus
         UNION ALL SELECT 'term_mentions', count(*) FROM (
             SELECT DISTINCT src, start_at, length(surface) FROM links)"""
+    q["import_tables"] = _with(CORPUS, LINKS, VERTICES, CURRENT, _TITLES, _PROPERTIES) + """
+        SELECT 'vertices' AS table_name, count(*) AS n_rows FROM vertices
+        UNION ALL SELECT 'edges', count(*) FROM (SELECT DISTINCT src, dst FROM links)
+        UNION ALL SELECT 'audits', count(*) FROM corpus
+        UNION ALL SELECT 'vertex_properties', count(*) FROM properties
+        UNION ALL SELECT 'vertex_data', 2 * count(*) FROM current_page
+        UNION ALL SELECT 'term_mentions', count(*) FROM (
+            SELECT DISTINCT src, start_at, length(surface) FROM links)"""
     q["title_buckets"] = _with(CORPUS, LINKS, VERTICES) + f"""
         SELECT CASE WHEN regexp_matches(c, '[0-9A-Za-z]') THEN c ELSE '' END AS bucket,
                count(*) AS n_vertices

@@ -21,6 +21,7 @@ from ..sources.dump import page_line
 from ..sources.ontology import check_ontology, default_ontology
 from ..streaming.incremental import read_merged, stream_pages
 from . import corpus as K
+from .importer import import_pages, read_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -200,14 +201,14 @@ def vertex_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = G.edges(M.merge_edges(G.link_pairs(_pages(spark, sf_dir))))
+    rows = G.edges(M.merge_edges(G.page_edges(_pages(spark, sf_dir))))
     return rows.select("edge_id", "src", "dst", "label")
 
 
 @query
 def edge_id_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = good_pages(build_pages(K.page_xml(K.colliding_pairs(spark, sf_dir))))
-    return M.edge_id_collisions(G.edges(M.merge_edges(G.link_pairs(pages))))
+    return M.edge_id_collisions(G.edges(M.merge_edges(G.page_edges(pages))))
 
 
 @query
@@ -257,7 +258,7 @@ def best_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _tables(pages: DataFrame) -> dict[str, DataFrame]:
     return {
         C.VERTICES: M.graph_vertices(pages),
-        C.EDGES: M.merge_edges(G.link_pairs(pages)),
+        C.EDGES: M.merge_edges(G.page_edges(pages)),
         C.AUDITS: G.audits(pages),
     }
 
@@ -310,7 +311,7 @@ def edge_type_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = M.graph_vertices(pages).withColumn(
         "concept_type", F.when(supplier, F.lit("other")).otherwise(F.col("concept_type"))
     )
-    rows = G.edges(M.merge_edges(G.link_pairs(pages)))
+    rows = G.edges(M.merge_edges(G.page_edges(pages)))
     return check_edge_types(rows, typed, relationships).select("edge_id", "src", "dst", "violation")
 
 
@@ -330,7 +331,7 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def html_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = G.edges(M.merge_edges(G.link_pairs(_html(spark, sf_dir))))
+    rows = G.edges(M.merge_edges(G.page_edges(_html(spark, sf_dir))))
     return rows.select("edge_id", "src", "dst")
 
 
@@ -339,6 +340,18 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _html(spark, sf_dir).select("vertex_id", "text")
 
 
+# --- the whole import ------------------------------------------------------------
+
+
+@query
+def import_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the import over all pages and report the rows of each table it wrote."""
+    out = work_dir(spark)
+    import_pages(K.raw_corpus(spark, sf_dir), out)
+    tables = {n: df for n, df in read_tables(spark, out).items() if n in L.ROW_KEYS}
+    return L.rows_per_table(L.union_outputs(tables))
+
+
 # --- streaming -------------------------------------------------------------------
 
 
