@@ -2,36 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Work on blocks so that a page with 100,000 links does not copy its accumulator
 # 100,000 times.
-_BLOCK = 64
-
-
-def _running(values: Column, first: Column) -> Column:
-    """Sum of all elements before each element, starting from `first`."""
-    zero = F.struct(first.alias("total"), F.array().cast("array<int>").alias("out"))
-    return F.aggregate(
-        values,
-        zero,
-        lambda acc, x: F.struct(
-            (acc["total"] + x).alias("total"),
-            F.concat(acc["out"], F.array(acc["total"])).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+_BLOCK = 256
+
+
+def _running(values: Column, first: Column, measure: Callable[[Column], Column]) -> Column:
+    """Sum of the measures of all elements before each element, and of all of them."""
+    zero = F.struct(first.alias("total"), F.array(first).alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        total = acc["total"] + measure(x)
+        return F.struct(total.alias("total"), F.concat(acc["out"], F.array(total)).alias("out"))
+
+    return F.aggregate(values, zero, step, lambda acc: acc["out"])
 
 
-def sum_before(values: Column) -> Column:
-    """For an array<int>, the sum of the elements before each position."""
+def sum_before(values: Column, measure: Callable[[Column], Column] = lambda x: x) -> Column:
+    """The sum of the (integer) measures before each position; one more entry at the
+    end holds the total."""
     blocks = F.transform(
         F.sequence(F.lit(0), F.greatest((F.size(values) - 1) / _BLOCK, F.lit(0)).cast("int")),
         lambda b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)),
     )
-    starts = _running(
-        F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x)), F.lit(0)
+    sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + measure(x)))
+    starts = _running(sums, F.lit(0), lambda x: x)
+    # Each block ends with its total, which is the first entry of the next one.
+    in_blocks = F.flatten(
+        F.zip_with(
+            blocks,
+            F.slice(starts, F.lit(1), F.size(blocks)),
+            lambda b, s: F.slice(_running(b, s, measure), F.lit(1), F.size(b)),
+        )
     )
-    in_blocks = F.flatten(F.zip_with(blocks, starts, lambda b, s: _running(b, s)))
-    return F.when(F.size(values) <= _BLOCK, _running(values, F.lit(0))).otherwise(in_blocks)
+    long = F.concat(in_blocks, F.array(F.element_at(starts, -1)))
+    short = _running(values, F.lit(0), measure)
+    return F.when(F.size(values) <= _BLOCK, short).otherwise(long)

@@ -37,6 +37,7 @@ Rule = tuple[str, Callable[[Column], Column]]
 
 MARK = "\x01"
 LINE, PARAGRAPH = "\x03", "\x04"
+GAP = "\n" + PARAGRAPH
 EXTERNAL = "\x05"
 HEADING, LEVEL_END = "\x06", "\x07"
 REDIRECT = "\x08"
@@ -114,7 +115,7 @@ def drop_illegal(c: Column) -> Column:
 
 
 def drop_noncharacters(c: Column) -> Column:
-    return F.replace(F.replace(c, F.lit("￾"), F.lit("")), F.lit("￿"), F.lit(""))
+    return _where(_has(c, "￾", "￿"), c, F.regexp_replace(c, "[￾￿]", ""))
 
 
 def hide_extensions(c: Column) -> Column:
@@ -210,6 +211,10 @@ def name_redirect(c: Column) -> Column:
     return F.regexp_replace(c, _REDIRECT, f"REDIRECT: [[{REDIRECT}$1]]{REDIRECT}")
 
 
+def drop_redirect_mark(c: Column) -> Column:
+    return _where(_has(c, REDIRECT), c, F.regexp_replace(c, REDIRECT, ""))
+
+
 def hide_categories(c: Column) -> Column:
     return _where(_has(c, "[["), c, F.regexp_replace(c, _CATEGORY, ""))
 
@@ -233,13 +238,13 @@ def mark_headings(c: Column) -> Column:
     marked = F.regexp_replace(
         c,
         r"(?d)\n(={1,6})[ \t]*+([^\n]+?)[ \t]*\1[ \t]*(?=\n|\z)",
-        PARAGRAPH + HEADING + "$1" + LEVEL_END + "$2" + PARAGRAPH,
+        GAP + HEADING + "$1" + LEVEL_END + "$2" + GAP,
     )
     return _where(_has(c, "\n="), c, marked)
 
 
 def mark_rules(c: Column) -> Column:
-    return _where(_has(c, "\n----"), c, F.regexp_replace(c, r"\n-{4,}+", "\n" + PARAGRAPH))
+    return _where(_has(c, "\n----"), c, F.regexp_replace(c, r"\n-{4,}+", GAP))
 
 
 def mark_blocks(c: Column) -> Column:
@@ -247,14 +252,14 @@ def mark_blocks(c: Column) -> Column:
     marked = F.regexp_replace(
         c,
         r"\n(?![*#;:\x03\x04\x0e])(?=[ \t]*+\S)([^\n]++)\n(?=[*#\x0e])",
-        "\n$1" + PARAGRAPH + "\n",
+        "\n$1" + GAP + "\n",
     )
     return _where(_has(c, "\n*", "\n#", TABLE), c, marked)
 
 
 def mark_blank_lines(c: Column) -> Column:
     """A paragraph ends at a blank line."""
-    return F.regexp_replace(c, r"\n(?:[ \t]*+\n)++", PARAGRAPH + "\n")
+    return F.regexp_replace(c, r"\n(?:[ \t]*+\n)++", GAP + "\n")
 
 
 def mark_items(c: Column) -> Column:
@@ -269,14 +274,14 @@ def trim_newlines(c: Column) -> Column:
 def write_paragraphs(c: Column) -> Column:
     """Adjacent requests give the largest of them: first those of two newlines."""
     joined = F.regexp_replace(c, rf"\x04[{_BREAKS}]*+", PARAGRAPH)
-    joined = F.regexp_replace(joined, r"[\n\x03\x0e\x0f]++\x04", PARAGRAPH)
-    return _where(_has(c, PARAGRAPH), c, F.replace(joined, F.lit(PARAGRAPH), F.lit("\n\n")))
+    return _where(
+        _has(c, PARAGRAPH), c, F.regexp_replace(joined, r"[\n\x03\x0e\x0f]++\x04", "\n\n")
+    )
 
 
 def write_lines(c: Column) -> Column:
-    joined = F.regexp_replace(c, r"[\x03\x0e\x0f][\n\x03\x0e\x0f]*+", LINE)
-    joined = F.regexp_replace(joined, r"\n++\x03", LINE)
-    return _where(_has(c, LINE, TABLE, ROW), c, F.replace(joined, F.lit(LINE), F.lit("\n")))
+    joined = F.regexp_replace(c, r"\n*+[\x03\x0e\x0f][\n\x03\x0e\x0f]*+", "\n")
+    return _where(_has(c, LINE, TABLE, ROW), c, joined)
 
 
 def number_external(c: Column) -> Column:
@@ -297,29 +302,32 @@ def section_labels(levels: Column) -> Column:
     own level when a heading of that level is open; skipped levels count as 1, and
     the first level is never written.
     """
+    shown = range(2, 7)
+    none = [F.lit(0).alias(f"c{k}") for k in shown]
     start = F.struct(
-        F.array().cast("array<int>").alias("counts"),
-        F.array().cast("array<int>").alias("open"),
-        F.array().cast("array<string>").alias("labels"),
+        *none, F.lit(0).alias("open"), F.array().cast("array<string>").alias("labels")
     )
 
-    def step(acc: Column, level: Column) -> Column:
-        again = F.array_contains(acc["open"], level)
-        kept = F.transform(
-            F.slice(acc["counts"], F.lit(1), level),
-            lambda n, i: F.when((i + 1 == level) & again, n + 1).otherwise(n),
-        )
-        counts = F.concat(kept, F.array_repeat(F.lit(1), level - F.size(kept)))
-        label = F.array_join(
-            F.transform(F.slice(counts, F.lit(2), level), lambda n: F.concat(n.cast("string"), F.lit("."))),
-            "",
+    def count(acc: Column, level: Column, k: int) -> Column:
+        """Count of level k once a heading of `level` is seen; `open` has a bit per level."""
+        again = acc["open"].bitwiseAND(2**k) > 0
+        present = F.greatest(acc[f"c{k}"], F.lit(1))
+        return (
+            F.when(level < k, 0)
+            .when((level == k) & again, acc[f"c{k}"] + 1)
+            .otherwise(present)
         )
+
+    def step(acc: Column, level: Column) -> Column:
+        counts = {k: count(acc, level, k) for k in shown}
+        label = F.concat_ws(".", *[F.when(level >= k, n.cast("string")) for k, n in counts.items()])
+        bit = F.element_at(F.array(*[F.lit(2**k) for k in range(1, 7)]), level)
         return F.struct(
-            counts.alias("counts"),
-            F.concat(F.filter(acc["open"], lambda o: o < level), F.array(level)).alias("open"),
+            *[n.alias(f"c{k}") for k, n in counts.items()],
+            acc["open"].bitwiseAND(bit - 1).bitwiseOR(bit).alias("open"),
             F.concat(
                 acc["labels"],
-                F.array(F.when(label == "", label).otherwise(F.concat(label, F.lit(" ")))),
+                F.array(F.when(level > 1, F.concat(label, F.lit(". "))).otherwise(F.lit(""))),
             ).alias("labels"),
         )
 
@@ -411,64 +419,54 @@ def _cut(marked: Column) -> Column:
     return F.split(marked, MARK)
 
 
-def _piece_lengths(pieces: Column) -> Column:
-    return F.transform(pieces, F.length)
+def _piece_starts(pieces: Column) -> Column:
+    return sum_before(pieces, F.length)
 
 
 def _in_order(links: Column) -> Column:
-    return F.concat(
-        F.filter(links, lambda k: k["kind"] == C.KIND_LINK),
-        F.filter(links, lambda k: k["kind"] == C.KIND_REDIRECT),
-    )
+    """Internal links before the redirect, which can only stand at the start."""
+    redirect_first = F.get(links, F.lit(0))["kind"] == C.KIND_REDIRECT
+    turned = F.concat(F.slice(links, F.lit(2), F.size(links)), F.slice(links, 1, 1))
+    return F.when(redirect_first, turned).otherwise(links)
 
 
-def _link_structs(targets: Column, pieces: Column, starts: Column, lengths: Column) -> Column:
-    def odd(a: Column) -> Column:
-        return F.filter(a, lambda _, i: i % 2 == 1)
-
-    zipped = F.arrays_zip(
-        targets.alias("target"),
-        odd(pieces).alias("surface"),
-        odd(starts).alias("start"),
-        odd(lengths).alias("length"),
-    )
-    return F.transform(
-        zipped,
-        lambda z: F.struct(
-            F.when(F.startswith(z["target"], F.lit(REDIRECT)), F.lit(C.KIND_REDIRECT))
+def _link_structs(targets: Column, pieces: Column, starts: Column) -> Column:
+    def link(target: Column, i: Column) -> Column:
+        at = i * 2 + 1
+        return F.struct(
+            F.when(F.startswith(target, F.lit(REDIRECT)), F.lit(C.KIND_REDIRECT))
             .otherwise(F.lit(C.KIND_LINK))
             .alias("kind"),
-            F.ltrim(z["target"], F.lit(REDIRECT)).alias("target"),
-            z["surface"].alias("surface"),
-            z["start"].alias("start"),
-            (z["start"] + z["length"]).alias("end"),
-        ),
-    )
+            F.ltrim(target, F.lit(REDIRECT)).alias("target"),
+            F.get(pieces, at).alias("surface"),
+            F.get(starts, at).alias("start"),
+            F.get(starts, at + 1).alias("end"),
+        )
+
+    return F.transform(targets, link)
 
 
 def links_of_marked(df: DataFrame, marked: str, targets: str) -> DataFrame:
     """Turn marked text plus the raw targets into `text` and `links`.
 
     Cutting at the marks gives text, link, text, link, ..., text; the lengths
-    before a piece add up to its offset.
+    before a piece add up to its offset. Both arrays are used more than once below,
+    which keeps the optimizer from moving them into the loop over the targets.
     """
     df = df.withColumn("_pieces", built(_cut, marked))
-    df = df.withColumn("_lengths", built(_piece_lengths, "_pieces"))
-    df = df.withColumn("_starts", built(sum_before, "_lengths"))
+    df = df.withColumn("_starts", built(_piece_starts, "_pieces"))
     return (
         df.withColumn("text", F.array_join("_pieces", ""))
-        .withColumn("links", built(_link_structs, targets, "_pieces", "_starts", "_lengths"))
-        .drop("_pieces", "_lengths", "_starts")
+        .withColumn("links", built(_link_structs, targets, "_pieces", "_starts"))
+        .drop("_pieces", "_starts")
     )
 
 
 def residue(text: Column) -> Column:
     """How many brackets and definition-list lines no rule understood."""
-    count = F.when(F.rlike(text, F.lit(r"\A[;:]")), 1).otherwise(0)
-    for mark in ("{{", "}}", "[[", "]]", "\n;", "\n:"):
-        without = F.replace(text, F.lit(mark), F.lit(""))
-        count = count + ((F.length(text) - F.length(without)) / 2).cast("int")
-    return count
+    left = F.regexp_count(text, F.lit(r"\{\{|\}\}|\[\[|\]\]|\n[;:]"))
+    first = F.when(F.startswith(text, F.lit(";")) | F.startswith(text, F.lit(":")), 1).otherwise(0)
+    return first + F.when(_has(text, "{{", "}}", "[[", "]]", "\n;", "\n:"), left).otherwise(0)
 
 
 def empty_redirect(wikitext: Column) -> Column:
@@ -491,10 +489,9 @@ def convert_markup(
     df = apply_rules(pages.withColumn("_markup", F.col("wikitext")), "_markup", rules["hide"])
     df = df.withColumn("_targets", F.regexp_extract_all("_markup", F.lit(_LINK), 1)).withColumn(
         "_markup",
-        F.replace(
-            F.regexp_replace("_markup", _LINK, f"{MARK}$2$3$4{MARK}"), F.lit(REDIRECT), F.lit("")
-        ),
+        F.regexp_replace("_markup", _LINK, f"{MARK}$2$3$4{MARK}"),
     )
+    df = df.withColumn("_markup", built(drop_redirect_mark, "_markup"))
     df = apply_rules(df, "_markup", rules["shape"])
     df = links_of_marked(df, "_markup", "_targets").drop("_markup", "_targets")
     if cfg.drop_self_anchors:

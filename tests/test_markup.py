@@ -92,8 +92,8 @@ def test_page_with_very_many_links_and_depth(spark):
 def test_sum_before_in_blocks(spark):
     df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda x: x.cast("int")).alias("a"))
     got = df.select(sum_before(F.col("a")).alias("s")).first().s
-    assert got == [i * (i + 1) // 2 for i in range(1000)]
-    assert spark.sql("select cast(array() as array<int>) a").select(sum_before(F.col("a")).alias("s")).first().s == []
+    assert got == [i * (i + 1) // 2 for i in range(1001)]
+    assert spark.sql("select cast(array() as array<int>) a").select(sum_before(F.col("a")).alias("s")).first().s == [0]
 
 
 def test_own_rule_and_self_anchors(spark):
