@@ -228,7 +228,7 @@ properties AS (
     SELECT vertex_id, 'TITLE', key, title, 'confidence=0.1' FROM titles WHERE confidence < 0.2
 )"""
 
-_LINK_COLUMNS = "src, seq, kind, raw_target, target, surface, start_at, start_at + length(surface) AS end_at, dst"
+_LINK_COLUMNS = "src, seq::BIGINT AS seq, kind, raw_target, target, surface, start_at, start_at + length(surface) AS end_at, dst"
 _PAGE_IDS = f"(SELECT '{ID}' || name FROM corpus)"
 
 
@@ -272,9 +272,9 @@ def oracle_sql() -> dict[str, str]:
     q["stub_vertices"] = _with(CORPUS, LINKS) + f"""
         SELECT DISTINCT dst AS vertex_id FROM links WHERE dst NOT IN {_PAGE_IDS}"""
     q["resolved_links"] = _with(CORPUS, LINKS) + f"""
-        SELECT src, seq, dst, target FROM links WHERE dst IN {_PAGE_IDS}"""
+        SELECT src, seq::BIGINT AS seq, dst, target FROM links WHERE dst IN {_PAGE_IDS}"""
     q["unresolved_links"] = _with(CORPUS, LINKS) + f"""
-        SELECT src, seq, dst, target FROM links WHERE dst NOT IN {_PAGE_IDS}"""
+        SELECT src, seq::BIGINT AS seq, dst, target FROM links WHERE dst NOT IN {_PAGE_IDS}"""
     q["edges"] = _with(LINKS) + f"""
         SELECT DISTINCT {_EDGE} AS edge_id, src, dst, '{CFG.link_relationship_iri}' AS label FROM links"""
     q["edge_id_collisions"] = f"""
