@@ -19,12 +19,9 @@ HEADLINE = (
     "pages_fields",
     "plain_text",
     "hidden_markup",
-    "tables_text",
     "entities_decoded",
     "edges",
-    "vertices",
     "term_mentions",
-    "best_title",
     "resolved_links",
     "html_links",
     "import_tables",

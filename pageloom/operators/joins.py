@@ -66,6 +66,7 @@ def check_edge_types(
     edges: DataFrame,
     vertices: DataFrame,
     relationships: DataFrame,
+    cfg: C.ImportConfig = C.DEFAULT_CONFIG,
 ) -> DataFrame:
     """Edges that break the domain or range of their relationship.
 
@@ -74,10 +75,13 @@ def check_edge_types(
     rows; end points are checked once per distinct (label, vertex), not once per edge,
     so a vertex with very many edges costs one row.
     """
-    rules = relationships.select(
-        F.col("iri").alias("label"),
-        F.col("domain_iri").alias("_domain"),
-        F.col("range_iri").alias("_range"),
+    rules = small_or_shuffled(
+        relationships.select(
+            F.col("iri").alias("label"),
+            F.col("domain_iri").alias("_domain"),
+            F.col("range_iri").alias("_range"),
+        ),
+        cfg,
     )
     concepts = vertices.select("vertex_id", "concept_type")
 
