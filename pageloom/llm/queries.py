@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .secrets import ORACLE as _SECRETS
+from .secrets import op3_secret_scan
 from .sharding import op6_minimax_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (op6_minimax_shards,)
+    found = (op3_secret_scan, op6_minimax_shards)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**_SECRETS}

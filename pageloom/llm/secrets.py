@@ -1,0 +1,208 @@
+"""Secret scan over a trigram index, in DataFrame functions only.
+
+Each rule's regular expression yields a Boolean trigram query (`trigrams`). The index holds,
+for each trigram that some query asks for, which documents contain it: posting bitmaps, one
+bit per document and trigram, kept beside the documents. Intersecting postings is therefore
+AND and OR of bits where the text lies; no postings and no text are shuffled. Rules run only
+on their candidates; a rule without a mandatory trigram runs on all documents.
+
+Positions come from cutting the text at the matches: a match starts after the lengths of all
+pieces and matches before it.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.arrays import sum_before
+from .common import free_name, table
+from .trigrams import evaluate, grams_of, trigram_query
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A match counts if its `group` has `least` characters or more; one that has fewer is
+    dropped, but what it has consumed stays consumed."""
+
+    kind: str
+    pattern: str
+    group: int = 0
+    least: int = 0
+    base: bool = False
+
+
+# The kinds of the contract, in its order.
+BASE_RULES = (
+    Rule(
+        "assign",
+        r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        2, 12, True,
+    ),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 18, True),
+    Rule("hex", r"[0-9a-f]{16,}", 0, 16, True),  # maximal runs, as with + and a length check
+)
+# Public formats of further credentials.
+MORE_RULES = (
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("github", r"gh[posu]_[A-Za-z0-9]{36,}"),
+)
+RULES = BASE_RULES + MORE_RULES
+
+
+def gram_index(docs: DataFrame, rules: tuple[Rule, ...], text_col: str, grams: str) -> DataFrame:
+    """`docs` with a column `grams`: which of the trigrams asked for the text contains."""
+    asked = sorted(set().union(*(grams_of(trigram_query(r.pattern)) for r in rules)))
+    folded = free_name(docs, "_folded")
+    posted = [F.when(F.contains(F.col(folded), F.lit(g)), F.lit(g)) for g in asked]
+    docs = docs.withColumn(folded, F.lower(F.col(text_col)))
+    return docs.withColumn(grams, F.array_compact(F.array(*posted))).drop(folded)
+
+
+def find_secrets(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", spans_col: str = "spans"
+) -> DataFrame:
+    """`docs` with `spans_col`: array<struct<start int, kind string, end int>> by start, then
+    by the order of the rules; code points, end exclusive. A null or empty text has none;
+    overlapping spans of different kinds all stay; rows, also repeated ones, and all other
+    columns pass through unchanged (internal names avoid theirs)."""
+    own = {n: free_name(docs, f"_{n}") for n in ("text", "grams")}
+    found = docs.withColumn(own["text"], F.coalesce(F.col(text_col), F.lit("")))
+    found = gram_index(found, rules, own["text"], own["grams"])
+    names = [[free_name(docs, f"_{n}{i}") for n in ("hits", "gaps", "values", "before", "spans")] for i in range(len(rules))]
+    text, none = F.col(own["text"]), F.array().cast("array<string>")
+
+    def all_of(rule: Rule, group: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(group))
+
+    def has(gram: str) -> Column:
+        return F.array_contains(own["grams"], gram)
+
+    found = found.withColumns(
+        {
+            hits: F.when(evaluate(trigram_query(rule.pattern), has), all_of(rule, 0)).otherwise(none)
+            for rule, (hits, *_) in zip(rules, names, strict=True)
+        }
+    )
+    lengths = {}
+    for rule, (hits, gaps, values, *_) in zip(rules, names, strict=True):
+        any_hit, no_length = F.size(hits) > 0, F.array().cast("array<int>")
+        pieces = F.split(text, F.lit(rule.pattern), F.lit(-1))
+        lengths[gaps] = F.when(any_hit, F.transform(pieces, F.length)).otherwise(no_length)
+        group = F.col(hits) if rule.group == 0 else all_of(rule, rule.group)
+        lengths[values] = F.when(any_hit, F.transform(group, F.length)).otherwise(no_length)
+    found = found.withColumns(lengths)
+    found = found.withColumns(
+        {
+            before: sum_before(F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.length(h) + g))
+            for hits, gaps, _, before, _ in names
+        }
+    )
+    found = found.withColumns(
+        {n[4]: _spans_of(i, rule, *n[:4]) for i, (rule, n) in enumerate(zip(rules, names, strict=True))}
+    )
+    kinds = F.array(*[F.lit(r.kind) for r in rules])
+    ordered = F.array_sort(F.concat(*[F.col(n[4]) for n in names]))
+    spans = F.transform(
+        ordered, lambda s: F.struct(s["start"].alias("start"), kinds[s["rank"]].alias("kind"), s["end"].alias("end"))
+    )
+    return found.withColumn(spans_col, spans).drop(*own.values(), *[x for n in names for x in n])
+
+
+def _spans_of(rank: int, rule: Rule, hits: str, gaps: str, values: str, before: str) -> Column:
+    def span(hit: Column, i: Column) -> Column:
+        start = F.col(before)[i] + F.col(gaps)[i]
+        return F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(hit)).alias("end"))
+
+    long_enough = F.transform(values, lambda v: v >= rule.least)
+    paired = F.zip_with(F.transform(hits, span), long_enough, lambda s, ok: F.struct(s.alias("s"), ok.alias("ok")))
+    return F.transform(F.filter(paired, lambda p: p["ok"]), lambda p: p["s"])
+
+
+def spans_text(spans: Column) -> Column:
+    """`kind:start:end`, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
+    """`docs` with each run of overlapping spans in the text replaced by `mask`. Texts without
+    spans, null ones included, stay as they are."""
+    spans, cuts = free_name(docs, "_spans"), free_name(docs, "_cuts")
+    found = find_secrets(docs, rules, text_col, spans)
+    # Ends of the runs so far; a span that starts inside the last run prolongs it.
+    first = F.array().cast("array<struct<start:int,end:int>>")
+
+    def step(runs: Column, s: Column) -> Column:
+        last = F.element_at(runs, -1)
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        fresh = F.struct(s["start"].alias("start"), s["end"].alias("end"))
+        inside = (F.size(runs) > 0) & (s["start"] <= F.try_element_at(runs, F.lit(-1))["end"])
+        return F.when(
+            inside, F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(longer))
+        ).otherwise(F.concat(runs, F.array(fresh)))
+
+    found = found.withColumn(cuts, F.aggregate(spans, first, step))
+    text = F.col(text_col)
+    ends = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda r: r["end"]))
+    starts = F.concat(F.transform(cuts, lambda r: r["start"]), F.array(F.length(text)))
+    kept = F.zip_with(ends, starts, lambda a, b: F.substring(text, a + 1, b - a))
+    masked = F.array_join(kept, mask)
+    return found.withColumn(text_col, F.when(F.size(cuts) > 0, masked).otherwise(text)).select(*docs.columns)
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = [r.kind for r in BASE_RULES]
+    found = find_secrets(docs).withColumn("base", F.filter("spans", lambda s: s["kind"].isin(base)))
+
+    def count_of(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count_of, base),
+        F.sha2(F.encode(spans_text(F.col("base")), "utf-8"), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+def _oracle() -> str:
+    """The same spans with DuckDB's regular expressions, rule by rule, without any index."""
+    parts = []
+    for rank, r in enumerate(RULES):
+        p = r.pattern.replace("'", "''")
+        parts.append(
+            f"SELECT rid, {rank} AS rank, '{r.kind}' AS kind, {r.least} AS least, "
+            f"regexp_extract_all(t, '{p}', 0) AS hits, regexp_extract_all(t, '{p}', {r.group}) AS vals, "
+            f"string_split_regex(t, '{p}') AS gaps FROM docs"
+        )
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(parts)}),
+each_hit AS (
+  SELECT rid, rank, kind, least, hits, vals, gaps, unnest(range(1, len(hits) + 1)) AS i FROM found
+),
+spans AS (
+  SELECT rid, rank, kind,
+    (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start,
+    length(hits[i]) AS n
+  FROM each_hit WHERE length(vals[i]) >= least
+),
+per_doc AS (
+  SELECT rid,
+    count(*) FILTER (kind = 'assign') AS n_assign,
+    count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || start || ':' || (start + n), ',' ORDER BY start, rank) FILTER (rank < {len(BASE_RULES)}) AS base,
+    string_agg(kind || ':' || start || ':' || (start + n), ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN per_doc USING (rid)"""
+
+
+ORACLE = {"op3_secret_scan": _oracle()}
