@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +34,22 @@ def staged(df: DataFrame, *sort: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch by BATCH_ROWS, unless the session has less."""
+_SHIPPED: set[str] = set()
+
+
+def python_ready(spark: SparkSession) -> None:
+    """Before Python runs in tasks: Spark sends this package to the executors, and an Arrow
+    batch has BATCH_ROWS rows at most (or fewer, if the session says so)."""
     if int(spark.conf.get(ARROW_ROWS)) > BATCH_ROWS:
         spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp()) / "package.zip"  # the driver's own; Spark serves it
+        with zipfile.ZipFile(archive, "w") as z:
+            for source in sorted(package.rglob("*.py")):
+                z.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _SHIPPED.add(spark.sparkContext.applicationId)
 
 
 def text_key(text: Column) -> Column:

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import ORACLE as _DECONTAMINATION
+from .decontamination import op8_benchmark_matches
 from .secrets import ORACLE as _SECRETS
 from .secrets import op3_secret_scan
 from .sharding import op6_minimax_shards
@@ -14,9 +16,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (op3_secret_scan, op6_minimax_shards)
+    found = (op3_secret_scan, op6_minimax_shards, op8_benchmark_matches)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_SECRETS}
+    return {**_SECRETS, **_DECONTAMINATION}
