@@ -132,19 +132,30 @@ class Searcher:
         counts = hi[found] - lo[found]
         window = np.repeat(found, counts)
         at = np.repeat(lo[found] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(len(window)) if len(found) else window
-        longest = self.lengths[window].copy()
-        begin = 0
-        for w, n in zip(found, counts, strict=True):
-            for suffix in self.tests.suffixes[w]:
-                a, b = lo[w], hi[w]
-                for d in range(int(self.lengths[w]), len(suffix)):
-                    (a,), (b,) = array.narrowed(np.array([a]), np.array([b]), d, np.array([suffix[d]]))
-                    if a >= b:
-                        break
-                    own = longest[begin + a - lo[w] : begin + b - lo[w]]
-                    np.maximum(own, d + 1, out=own)
-            begin += n
-        return window, array.places[at] if len(window) else window, longest
+        reach = self._reach(array, found, lo, hi)
+        return (window, array.places[at], reach[at]) if len(window) else (window, window, window)
+
+    def _reach(self, array: SuffixArray, found: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """For each entry of the suffix array, its longest match with a test suffix."""
+        pairs = [(w, suffix) for w in found.tolist() for suffix in self.tests.suffixes[w]]
+        window = np.array([w for w, _ in pairs], dtype=np.int64)
+        a, b = lo[window], hi[window]
+        size = np.array([len(s) for _, s in pairs], dtype=np.int64)
+        reach = np.zeros(len(array.places), dtype=np.int64)
+        alive = np.arange(len(pairs))
+        for d in range(int(self.lengths.min(initial=0)), int(size.max(initial=0)) + 1):
+            # Pairs whose window ends here, or that have matched up to here.
+            covered = np.zeros(len(reach) + 1, dtype=np.int64)
+            here = alive[self.lengths[window[alive]] <= d]
+            np.add.at(covered, a[here], 1)
+            np.add.at(covered, b[here], -1)
+            reach[np.cumsum(covered[:-1]) > 0] = d
+            alive = alive[size[alive] > d]
+            longer = alive[self.lengths[window[alive]] <= d]
+            word = np.array([pairs[k][1][d] for k in longer.tolist()], dtype=np.int64)
+            a[longer], b[longer] = array.narrowed(a[longer], b[longer], d, word)
+            alive = alive[a[alive] < b[alive]]
+        return reach
 
 
 class SuffixArray:
