@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import ORACLE as _DECONTAMINATION
 from .decontamination import op8_benchmark_matches
+from .packing import op7_certified_packing
 from .secrets import ORACLE as _SECRETS
 from .secrets import op3_secret_scan
 from .sharding import op6_minimax_shards
@@ -16,7 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (op3_secret_scan, op6_minimax_shards, op8_benchmark_matches)
+    found = (op3_secret_scan, op6_minimax_shards, op7_certified_packing, op8_benchmark_matches)
     return {f.__name__: f for f in found}
 
 
