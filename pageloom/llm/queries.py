@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import ORACLE as _CHAT
+from .chat import op10_chat_format
 from .decontamination import ORACLE as _DECONTAMINATION
 from .decontamination import op8_benchmark_matches
 from .packing import op7_certified_packing
@@ -17,9 +19,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (op3_secret_scan, op6_minimax_shards, op7_certified_packing, op8_benchmark_matches)
+    found = (op3_secret_scan, op6_minimax_shards, op7_certified_packing, op8_benchmark_matches, op10_chat_format)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_SECRETS, **_DECONTAMINATION}
+    return {**_SECRETS, **_DECONTAMINATION, **_CHAT}
