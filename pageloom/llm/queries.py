@@ -10,6 +10,8 @@ from .chat import ORACLE as _CHAT
 from .chat import op10_chat_format
 from .decontamination import ORACLE as _DECONTAMINATION
 from .decontamination import op8_benchmark_matches
+from .neardup import ORACLE as _NEARDUP
+from .neardup import op5_jaccard_join
 from .packing import op7_certified_packing
 from .secrets import ORACLE as _SECRETS
 from .secrets import op3_secret_scan
@@ -19,9 +21,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (op3_secret_scan, op6_minimax_shards, op7_certified_packing, op8_benchmark_matches, op10_chat_format)
+    found = (op3_secret_scan, op5_jaccard_join, op6_minimax_shards, op7_certified_packing, op8_benchmark_matches, op10_chat_format)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_SECRETS, **_DECONTAMINATION, **_CHAT}
+    return {**_SECRETS, **_DECONTAMINATION, **_CHAT, **_NEARDUP}
