@@ -16,13 +16,14 @@ from .packing import op7_certified_packing
 from .secrets import ORACLE as _SECRETS
 from .secrets import op3_secret_scan
 from .sharding import op6_minimax_shards
+from .toxicity import op9_toxicity
 from .vectors import op4_embedding_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (op3_secret_scan, op4_embedding_links, op5_jaccard_join, op6_minimax_shards, op7_certified_packing, op8_benchmark_matches, op10_chat_format)
+    found = (op3_secret_scan, op4_embedding_links, op5_jaccard_join, op6_minimax_shards, op7_certified_packing, op8_benchmark_matches, op9_toxicity, op10_chat_format)
     return {f.__name__: f for f in found}
 
 
