@@ -13,6 +13,7 @@ from .decontamination import op8_benchmark_matches
 from .neardup import ORACLE as _NEARDUP
 from .neardup import op5_jaccard_join
 from .packing import op7_certified_packing
+from .repeats import op2_repeat_removal
 from .secrets import ORACLE as _SECRETS
 from .secrets import op3_secret_scan
 from .sharding import op6_minimax_shards
@@ -23,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (op3_secret_scan, op4_embedding_links, op5_jaccard_join, op6_minimax_shards, op7_certified_packing, op8_benchmark_matches, op9_toxicity, op10_chat_format)
+    found = (op2_repeat_removal, op3_secret_scan, op4_embedding_links, op5_jaccard_join, op6_minimax_shards, op7_certified_packing, op8_benchmark_matches, op9_toxicity, op10_chat_format)
     return {f.__name__: f for f in found}
 
 

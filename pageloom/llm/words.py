@@ -23,7 +23,7 @@ _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[ord("0") : ord("9") + 1] = _IS_WORD[ord("a") : ord("z") + 1] = _IS_WORD[0x80:] = True
 
 
-class _Powers:
+class Powers:
     """Powers of an odd base and of its inverse, as far as they were needed yet."""
 
     def __init__(self, base: int):
@@ -42,7 +42,7 @@ class _Powers:
         return np.multiply.accumulate(out)
 
 
-_POWERS = _Powers(_BASE)
+_POWERS = Powers(_BASE)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -54,16 +54,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    _POWERS.reach(len(data) + 1)
+def prefix_hashes(data: np.ndarray, powers: Powers | None = None) -> np.ndarray:
+    powers = powers or _POWERS
+    powers.reach(len(data) + 1)
     out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWERS.up[: len(data)], out=out[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers.up[: len(data)], out=out[1:])
     return out
 
 
-def stretch_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def stretch_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers | None = None) -> np.ndarray:
     """Hashes of data[start:end]; equal stretches have equal hashes wherever they stand."""
-    return mixed((prefix[ends] - prefix[starts]) * _POWERS.down[starts])
+    return mixed((prefix[ends] - prefix[starts]) * (powers or _POWERS).down[starts])
 
 
 @dataclass
