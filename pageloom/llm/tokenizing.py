@@ -2,7 +2,7 @@
 
 Both tokenizers cut a text into words before they merge, so the ids of a text are those of
 its words, one after another. Words repeat; their ids are looked up. The tables of known
-words are emptied when they are full, which costs time but changes nothing.
+words are bounded; what falls out of them is encoded again when it comes again.
 """
 
 from __future__ import annotations
@@ -10,10 +10,14 @@ from __future__ import annotations
 import os
 import re
 
-# Entries of a table of known words; about 200 bytes each.
+# Entries of a table of known words; about 200 bytes each, and two tables.
 KNOWN_WORDS = 300_000
-# Chunks whose words can be told without the tokenizer: Latin letters and a comma or stop.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# Texts of these characters are cut here just as the tokenizer would cut them: letters, single
+# digits, runs of other marks, and the contractions that its pattern names. White space goes.
+_SPACE = " \t\n\v\f\r"
+_LETTERS = "a-zß-öø-ÿ"
+_PLAIN = re.compile(r"[\x00-\x7FÀ-ÖØ-öø-ÿ]*")
+_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_SPACE}{_LETTERS}0-9]+")
 
 
 def tokenizer_path(name: str) -> str:
@@ -25,41 +29,45 @@ def tokenizer_path(name: str) -> str:
 
 class WordTokenizer:
     """Ids, as little-endian 32-bit numbers, of a tokenizer file that lower-cases, drops white
-    space and never joins across it."""
+    space, never joins across it, and merges bytes written as visible characters."""
 
     def __init__(self, name: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path(name))
-        self._chunks: dict[str, bytes] = {"": b""}
-        self._words: dict[str, bytes] = {}
+        self._visible = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return self._known(_WORDS.findall(text.lower()), self._word)
+        # Elsewhere the tokenizer itself cuts what stands between spaces.
         chunks = text.replace("\n", " ").split(" ")
-        known = self._chunks
+        return b"".join([self.ids(c) if _PLAIN.fullmatch(c) and "<|" not in c else self._known([f" {c}"], self._chunk) for c in chunks])
+
+    def _known(self, words: list[str], encode) -> bytes:
         try:
-            return b"".join([known[c] for c in chunks])
+            return b"".join([self._new[w] for w in words])
         except KeyError:
-            if len(known) > KNOWN_WORDS:
-                known = self._chunks = {"": b""}
-            self._learn({c for c in chunks if c not in known})
-            return b"".join([known[c] for c in chunks])
-
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self._words) > KNOWN_WORDS:
-            self._words = {}
-        simple = {c: m for c in chunks if (m := _SIMPLE.fullmatch(c))}
-        parts = {c: (m[1].lower(), m[2]) for c, m in simple.items()}
-        words = {w for pair in parts.values() for w in pair if w and w not in self._words}
-        self._words.update(self._encoded(sorted(words)))
-        for c, (word, mark) in parts.items():
-            self._chunks[c] = self._words[word] + (self._words[mark] if mark else b"")
-        self._chunks.update(self._encoded(sorted(chunks - simple.keys())))
-
-    def _encoded(self, texts: list[str]) -> dict[str, bytes]:
-        found = self._tokenizer.encode_batch(texts, add_special_tokens=False) if texts else []
-        return {t: b"".join(i.to_bytes(4, "little") for i in e.ids) for t, e in zip(texts, found, strict=True)}
+            return b"".join([self._new.get(w) or self._learned(w, encode) for w in words])
+
+    def _learned(self, word: str, encode) -> bytes:
+        if len(self._new) >= KNOWN_WORDS:
+            self._old, self._new = self._new, {}
+        found = self._old.get(word)
+        if found is None:
+            found = b"".join(i.to_bytes(4, "little") for i in encode(word))
+        self._new[word] = found
+        return found
+
+    def _word(self, word: str) -> list[int]:
+        visible = word if word.isascii() and word.isprintable() else self._visible.pre_tokenize_str(word)[0][0]
+        return [t.id for t in self._tokenizer.model.tokenize(visible)]
+
+    def _chunk(self, chunk: str) -> list[int]:
+        return self._tokenizer.encode(chunk, add_special_tokens=False).ids
 
 
 def byte_encoding(name: str):
