@@ -36,9 +36,10 @@ RECALL = 0.9999
 ROWS = 5
 # What one block holds at most: members, and n-grams of all of them.
 BLOCK_MEMBERS = 1024
-BLOCK_GRAMS = 1 << 20
+BLOCK_GRAMS = 1 << 19
 # n-grams in fewer members than this are paired one by one, others by a matrix product.
 FREQUENT = 16
+PAIRS = 1 << 20
 
 
 def bands_for(similarity: float, recall: float, rows: int) -> int:
@@ -180,12 +181,18 @@ def intersections(sets_a: list[np.ndarray], sets_b: list[np.ndarray]) -> np.ndar
     rare = ~many[gram_a]
     gram, owner = gram_a[rare], owner_a[rare]
     begin = np.concatenate([[0], np.cumsum(n_b)[:-1]])
-    for first in range(0, len(gram), 1 << 16):
-        g, o = gram[first : first + (1 << 16)], owner[first : first + (1 << 16)]
+    ends = np.cumsum(n_b[gram])
+    first = 0
+    while first < len(gram):
+        # So many holders at a time that their pairs stay below PAIRS.
+        done = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
+        g, o = gram[first:last], owner[first:last]
         times = n_b[g]
         shift = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         other = owner_b[np.repeat(begin[g], times) + shift]
         out += np.bincount(np.repeat(o, times) * len(sets_b) + other, minlength=out.size).reshape(out.shape)
+        first = last
     return out
 
 

@@ -80,3 +80,34 @@ def byte_encoding(name: str):
     with open(tokenizer_path(name), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+class PieceCounter:
+    """Pre-tokens of a byte-level tokenizer and the number of tokens of each."""
+
+    def __init__(self, name: str):
+        import public_tokenizers
+        import regex
+
+        self._pattern = regex.compile(public_tokenizers.PATTERN)
+        self._encoding = byte_encoding(name)
+        self._new: dict[str, int] = {}
+        self._old: dict[str, int] = {}
+
+    def pieces(self, text: str) -> list[str]:
+        return self._pattern.findall(text)
+
+    def pieces_from(self, text: str, start: int):
+        """The pre-tokens of `text` from `start`, a place where one begins, one at a time."""
+        return (m[0] for m in self._pattern.finditer(text, start))
+
+    def tokens(self, piece: str) -> int:
+        n = self._new.get(piece)
+        if n is None:
+            if len(self._new) >= KNOWN_WORDS:
+                self._old, self._new = self._new, {}
+            n = self._old.get(piece)
+            if n is None:
+                n = len(self._encoding.encode_ordinary(piece))
+            self._new[piece] = n
+        return n
