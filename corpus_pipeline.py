@@ -17,7 +17,7 @@ from pageloom.llm.common import staged, table
 from pageloom.llm.decontamination import decontaminate
 from pageloom.llm.neardup import drop_near_duplicates
 from pageloom.llm.packing import pack_documents
-from pageloom.llm.secrets import redact
+from pageloom.llm.secret_scan import redact
 from pageloom.llm.toxicity import drop_toxic
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

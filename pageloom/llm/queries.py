@@ -14,8 +14,8 @@ from .neardup import ORACLE as _NEARDUP
 from .neardup import op5_jaccard_join
 from .packing import op7_certified_packing
 from .repeats import op2_repeat_removal
-from .secrets import ORACLE as _SECRETS
-from .secrets import op3_secret_scan
+from .secret_scan import ORACLE as _SECRETS
+from .secret_scan import op3_secret_scan
 from .sharding import op6_minimax_shards
 from .token_counts import op1_token_counts
 from .toxicity import op9_toxicity
