@@ -221,6 +221,7 @@ def _matched(searcher: Searcher, batch: pa.RecordBatch, text_col: str, match_col
         spread = np.zeros(len(words.starts) + 1, dtype=np.int64)
         np.add.at(spread, place, 1)
         np.add.at(spread, place + searcher.lengths[window], -1)
+        covered = np.cumsum(spread[:-1]) > 0
         document = np.searchsorted(words.first, place, side="right") - 1
         items: dict[int, set[int]] = {}
         best = np.zeros(chunk.n, dtype=np.int64)
@@ -234,8 +235,7 @@ def _matched(searcher: Searcher, batch: pa.RecordBatch, text_col: str, match_col
             if k not in items:
                 out.append(was or {"n_words": int(words.first[k + 1] - words.first[k]), "longest": 0, "runs": [], "items": []})
                 continue
-            begin = words.first[k]
-            hit = np.cumsum(spread[begin : words.first[k + 1]]) > 0
+            hit = covered[words.first[k] : words.first[k + 1]].copy()
             for r in was["runs"] if was else []:
                 hit[r["start"] : r["end"]] = True
             edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
