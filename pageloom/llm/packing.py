@@ -2,10 +2,12 @@
 
 Pieces are dealt at random to partitions of bounded size. Each is packed by best-fit
 decreasing, and a lower bound from dual feasible functions says how many sequences it needs
-at least. A partition that meets its bound is finished: it cannot be packed better. The
-others give up their least filled sequences; those of several partitions meet, are packed
-again and bounded again, round by round, until no gap is left or a round no longer joins
-anything. A round that needs more sequences than it was given keeps what it was given.
+at least; the same bound over the lengths of all pieces says it for the whole table. If the
+partitions together meet that, nothing can be packed better. Otherwise there is a gap, even
+where each partition is as good as it can be alone, and the partitions give up their least
+filled sequences; those of several partitions meet, are packed again and bounded again, round
+by round, until the bound is met or one partition has met all. A partition that would need
+more sequences than it was given keeps what it was given.
 """
 
 from __future__ import annotations
@@ -28,17 +30,23 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 # Pieces that one task packs; a fixed bound on its memory.
 PART_PIECES = 50_000
-# Least filled sequences that a partition with a gap gives up, and partitions that meet.
+# Least filled sequences that a partition gives up, with a gap and without, and partitions
+# that meet.
 LOOSE_BINS = 512
+CERTIFIED_BINS = 64
 MEETING = 8
 # Eight to the power of it are more partitions than any table has.
 ROUNDS = 12
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Sequences that pieces of these lengths need at least: the best of the sums under dual
-    feasible functions, the total among them."""
-    sizes, counts = np.unique(lengths[lengths > 0].astype(np.int64), return_counts=True)
+    """Sequences that pieces of these lengths need at least."""
+    return bound_of_counts(*np.unique(lengths[lengths > 0].astype(np.int64), return_counts=True), capacity)
+
+
+def bound_of_counts(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> int:
+    """The same for `counts` pieces of each of the `sizes`, ascending: the best of the sums
+    under dual feasible functions, the total among them."""
     if not len(sizes):
         return 0
     total = np.concatenate([[0], np.cumsum(sizes * counts)])
@@ -82,7 +90,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
 
 
 def _packed(pieces: pa.Table, round_: int, capacity: int) -> pa.Table:
-    """Columns bin, offset, gap, loose and round of one partition anew."""
+    """Columns bin, offset, loose, part and round of one partition anew."""
     lengths = pieces.column("length").to_numpy().astype(np.int64)
     bins = best_fit_decreasing(lengths, capacity)
     n = int(bins.max(initial=-1)) + 1
@@ -99,12 +107,11 @@ def _packed(pieces: pa.Table, round_: int, capacity: int) -> pa.Table:
     offset[order] = running - running[first][bins[order]] if n else running
     fill = np.bincount(bins, weights=lengths, minlength=n)
     loose = np.zeros(n, dtype=bool)
-    least = np.argsort(fill, kind="stable")[:LOOSE_BINS]
+    least = np.argsort(fill, kind="stable")[: LOOSE_BINS if gap else CERTIFIED_BINS]
     loose[least[fill[least] < capacity]] = True
     new = {
-        "bin": pa.array(bins), "offset": pa.array(offset), "gap": pa.array(np.full(len(bins), gap, dtype=np.int64)),
-        "loose": pa.array(loose[bins]), "round": pa.array(np.full(len(bins), round_, dtype=np.int32)),
-        "part": pieces.column("meet"),
+        "bin": pa.array(bins), "offset": pa.array(offset), "loose": pa.array(loose[bins]),
+        "round": pa.array(np.full(len(bins), round_, dtype=np.int32)), "part": pieces.column("meet"),
     }
     return pa.table({c: new.get(c, pieces.column(c)) for c in pieces.column_names})
 
@@ -152,22 +159,25 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
     parts = max(1, -(-n // part_pieces))
     own = pieces.columns
     state = pieces.select(
-        *own, *[F.lit(0).cast("long").alias(c) for c in ("bin", "offset", "gap", "part")],
+        *own, *[F.lit(0).cast("long").alias(c) for c in ("bin", "offset", "part")],
         F.lit(True).alias("loose"), F.lit(0).alias("round"), F.pmod(F.xxhash64("uid"), F.lit(parts)).alias("meet"),
     )
+    # One row per length, `capacity` at most.
+    lengths = sorted((r["length"], r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect())
+    sizes, counts = (np.array(x, dtype=np.int64) for x in (zip(*lengths, strict=True) if lengths else ((), ())))
+    least = bound_of_counts(sizes, counts, capacity)
     finished: list[DataFrame] = []
-    round_ = 0
+    n_finished = round_ = 0
     while True:
         state = staged(state.groupBy("meet").applyInArrow(_packer(round_, capacity), state.schema))
-        open_parts = state.where("gap > 0").groupBy("part").agg(F.first("gap")).count()
-        # Parts that meet must be fewer than parts that are open, or nothing would change.
-        if open_parts < 2:
-            break
-        if round_ == ROUNDS:
+        n_bins, parts = _standing(state)
+        if n_finished + n_bins <= least or parts < 2 or round_ == ROUNDS:
             break
-        finished.append(state.where("NOT (gap > 0 AND loose)"))
-        meetings = -(-open_parts // MEETING)
-        state = state.where("gap > 0 AND loose").withColumn("meet", F.pmod(F.xxhash64("part"), F.lit(meetings)))
+        kept = state.where("NOT loose")
+        n_finished += _standing(kept)[0]
+        finished.append(kept)
+        meetings = -(-parts // MEETING)
+        state = state.where("loose").withColumn("meet", F.pmod(F.xxhash64("part"), F.lit(meetings)))
         round_ += 1
     for rows in finished:
         state = state.unionByName(rows)
@@ -175,6 +185,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
     return state.select(*own, sequence.alias("sequence_id"), "offset")
 
 
+def _standing(state: DataFrame) -> tuple[int, int]:
+    """Sequences; partitions with sequences that can be given up."""
+    bins = state.groupBy("part", "bin").agg(F.max("loose").alias("loose"))
+    parts = bins.groupBy("part").agg(F.count("*").alias("n"), F.max("loose").alias("loose"))
+    row = parts.agg(F.sum("n"), F.count_if("loose")).first()
+    return row[0] or 0, row[1]
+
+
 def _packer(round_: int, capacity: int):
     return lambda rows: _packed(rows, round_, capacity)
 
