@@ -144,25 +144,36 @@ def profile(sized: DataFrame, shards: int) -> tuple[Profile, int]:
             ranges += summarize(part, min(length + more, 64))
 
 
+def fair_share(sizes: list[int], shards: int) -> float:
+    """What a shard would hold if all were even, apart from ranges that fill one or more alone."""
+    left, total = shards, sum(sizes)
+    for size in sorted(sizes, reverse=True):
+        if left == 1 or size <= total / left:
+            break
+        left, total = left - 1, total - size
+    return total / left
+
+
 def even_cuts(seen: Profile, capacity: int, shards: int) -> list[int]:
     """Cuts at known places: no shard above `capacity`, each as near to the fair share of
-    what is left as the rest allows."""
-    cuts, start = [], 0
+    what is left as the rest allows, and none empty while there are ranges."""
+    cuts, at = [], 0
     for left in range(shards, 1, -1):
+        start = seen.ends[at]
         most = bisect_right(seen.ends, start + capacity) - 1
-        fair = start + (seen.total - start) / left
+        fair = start + fair_share([r.size for r in seen.ranges[at:]], left)
         i = bisect_left(seen.ends, fair)
         if i > 0 and fair - seen.ends[i - 1] <= seen.ends[min(i, len(seen.ends) - 1)] - fair:
             i -= 1
-        low, high = min(i, most), most
+        low, high = min(max(i, at + 1), most), most
         while low < high:  # the nearest from there on with which the rest fits
             mid = (low + high) // 2
             if seen.greedy(capacity, left - 1, seen.known_cut, seen.ends[mid]) is None:
                 low = mid + 1
             else:
                 high = mid
-        start = seen.ends[low]
-        cuts.append(start)
+        at = low
+        cuts.append(seen.ends[at])
     return cuts
 
 
