@@ -40,6 +40,8 @@ class ImportConfig:
     # A join side is broadcast only when a count proves it has at most this many
     # rows (of a few narrow columns); otherwise the join shuffles.
     broadcast_rows: int = 500_000
+    # And at most this many bytes of text.
+    broadcast_bytes: int = 64 << 20
     # A join key that owns more rows than this is spread over `salt_buckets` tasks.
     hot_key_rows: int = 5_000_000
     salt_buckets: int = 64

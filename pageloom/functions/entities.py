@@ -7,7 +7,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_REFERENCE = r"^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]{0,31});"
+# Leading zeros mean nothing; a number with more digits than these is no character.
+_REFERENCE = r"^(#0*+[0-9]{0,8}|#[xX]0*+[0-9a-fA-F]{0,7}|[A-Za-z][A-Za-z0-9]*+);"
 
 
 def named_entity(name: Column) -> Column:
@@ -31,9 +32,9 @@ def code_point(cp: Column) -> Column:
 
 def _resolve(name: Column) -> Column:
     digits = F.when(
-        F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 8), 16, 10)
-    ).otherwise(F.substring(name, 2, 8))
-    return F.when(F.startswith(name, F.lit("#")), code_point(digits.cast("int"))).otherwise(
+        F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.regexp_replace(name, "^#[xX]0*+", ""), 16, 10)
+    ).otherwise(F.regexp_replace(name, "^#0*+", ""))
+    return F.when(F.startswith(name, F.lit("#")), code_point(digits.try_cast("int"))).otherwise(
         named_entity(name)
     )
 

@@ -38,17 +38,6 @@ def empty_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def namespace(c: Column) -> Column:
-    """Namespace of a title: the text before the first colon; null when there is none."""
-    name = F.initcap(F.trim(F.replace(F.substring_index(c, ":", 1), F.lit("_"), F.lit(" "))))
-    return F.when(F.instr(c, ":") > 1, name)
-
-
-def grouped_number(c: Column) -> Column:
-    """Format a count as `#,###`."""
-    return F.format_number(c, 0)
-
-
 def xml_escape(c: Column) -> Column:
     c = F.replace(c, F.lit("&"), F.lit("&amp;"))
     c = F.replace(c, F.lit("<"), F.lit("&lt;"))

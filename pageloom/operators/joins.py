@@ -9,8 +9,12 @@ from .. import config as C
 
 
 def is_small(df: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> bool:
-    """True when a count proves that `df` has at most `cfg.broadcast_rows` rows."""
-    return df.limit(cfg.broadcast_rows + 1).count() <= cfg.broadcast_rows
+    """True when sums prove that `df` has at most `cfg.broadcast_rows` rows and
+    `cfg.broadcast_bytes` bytes of text."""
+    texts = [F.octet_length(f.name) for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    size = sum((F.coalesce(t, F.lit(0)).cast("long") for t in texts), F.lit(0).cast("long"))
+    n, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return n <= cfg.broadcast_rows and (total or 0) <= cfg.broadcast_bytes
 
 
 def small_or_shuffled(df: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFrame:
@@ -48,7 +52,7 @@ def resolve_links(
     wanted = flags.where(F.col("_known") if how == "left_semi" else ~F.col("_known")).select(
         "dst", F.explode(F.sequence(F.lit(0), F.col("_buckets") - 1)).alias("_bucket")
     )
-    spread = links.join(F.broadcast(hot), "dst", "left").withColumn(
+    spread = links.join(small_or_shuffled(hot, cfg), "dst", "left").withColumn(
         "_bucket",
         F.when(F.col("_buckets").isNull(), F.lit(0)).otherwise(
             _salt(["src", "start", "end", "seq"], cfg.salt_buckets)

@@ -11,6 +11,7 @@ it does, control characters that XML forbids serve as marks:
     LINE / PARAGRAPH          a request for one / two newlines
     EXTERNAL                  an external link that still needs its number
     HEADING level LEVEL_END   a heading that still needs its outline number
+    NEVER                     the `<` of a hidden tag that nothing closes
 
 The first rule removes those characters from the input, so they are unambiguous.
 
@@ -42,6 +43,7 @@ EXTERNAL = "\x05"
 HEADING, LEVEL_END = "\x06", "\x07"
 REDIRECT = "\x08"
 TABLE, ROW, CUT = "\x0e", "\x0f", "\x10"
+NEVER = "\x11"
 
 # Extension tags that are hidden together with their content.
 TAG_EXTENSIONS = (
@@ -118,9 +120,34 @@ def drop_noncharacters(c: Column) -> Column:
     return _where(_has(c, "￾", "￿"), c, F.regexp_replace(c, "[￾￿]", ""))
 
 
+# Where a page is no longer than this, looking for closers that never come costs nothing.
+_LONG = 1 << 13
+
+
+def closers(tags: Sequence[str]) -> tuple[tuple[str, str], ...]:
+    """Patterns of opener and closer for comments and each tag."""
+    openers = ((rf"(?i)<(?={t}(?:\s[^<>]*+)?(?<!/)>)", rf"(?i)</{t}\s*+>") for t in tags)
+    return (("<(?=!--)", "-->"), *openers)
+
+
+def hide_closed(c: Column, pattern: str, kinds: Sequence[tuple[str, str]], to: str = "") -> Column:
+    """Replace `pattern`, in time that grows with the page and no faster. Behind the last
+    closer of a kind, nothing ends an opener, and each would be followed to the end of the
+    page; there, NEVER stands for its `<` meanwhile."""
+    table = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(x).alias("x")) for o, x in kinds])
+
+    def mark(acc: Column, kind: Column) -> Column:
+        tail = F.element_at(F.split(acc, kind["x"], F.lit(-1)), -1)
+        head = F.substring(acc, F.lit(1), F.length(acc) - F.length(tail))
+        return F.concat(head, F.regexp_replace(tail, kind["o"], F.lit(NEVER)))
+
+    marked = F.regexp_replace(F.aggregate(table, c, mark), pattern, to)
+    return F.when(F.length(c) <= _LONG, F.regexp_replace(c, pattern, to)).otherwise(F.replace(marked, F.lit(NEVER), F.lit("<")))
+
+
 def hide_extensions(c: Column) -> Column:
     """Comments and extension tags go with their content."""
-    return _where(_has(c, "<"), c, F.regexp_replace(c, _HIDDEN, ""))
+    return _where(_has(c, "<"), c, hide_closed(c, _HIDDEN, closers(TAG_EXTENSIONS)))
 
 
 def hide_parameters(c: Column) -> Column:
@@ -136,11 +163,16 @@ def hide_deep_templates(c: Column) -> Column:
     """What nests deeper than the passes before: repeat as often as openers are left,
     which is enough for any depth; unbalanced braces stay as text."""
     openers = F.regexp_count(c, F.lit(r"\{\{"))
-    rest = F.aggregate(
-        F.sequence(F.lit(1), openers),
-        c,
-        lambda acc, _: F.regexp_replace(F.regexp_replace(acc, _PARAMETER, ""), _TEMPLATE, ""),
-    )
+
+    def once_more(acc: Column, _: Column) -> Column:
+        # Unchanged by the last pass, unchanged by all others.
+        text = F.regexp_replace(F.regexp_replace(acc["text"], _PARAMETER, ""), _TEMPLATE, "")
+        ended = F.struct(acc["text"].alias("text"), F.lit(-1).alias("before"))
+        pass_ = F.struct(text.alias("text"), F.length(acc["text"]).alias("before"))
+        return F.when(F.length(acc["text"]) == acc["before"], ended).when(acc["before"] < 0, acc).otherwise(pass_)
+
+    first = F.struct(c.alias("text"), (F.length(c) + 1).alias("before"))
+    rest = F.aggregate(F.sequence(F.lit(1), openers), first, once_more, lambda acc: acc["text"])
     return _where(_has(c, "{{") & F.rlike(c, F.lit(_TEMPLATE)), c, rest)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.ids import vertex_id
 from ..functions.strings import empty_if_null, iso_timestamp
+from ..functions.xmltext import has_sections, own_text, text_bodies, without_sections
 from ..schemas import CORRUPT, PAGE_XML
 from .markup import convert_markup, empty_redirect, keep_apart
 
@@ -19,17 +20,19 @@ def parse_pages(raw_pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) ->
     """Read title, wikitext and timestamp out of `raw` page XML.
 
     Title: the first one. Wikitext: all revisions' texts in order. Timestamp: the
-    first one. What is missing becomes "" (or null for the timestamp). A page that
-    is not well-formed XML keeps only its raw text and the status XML_ERROR.
+    first one. What is missing becomes "" (or null for the timestamp). A record that
+    is not one well-formed `page` element keeps only its raw text and the status XML_ERROR.
     """
     xml = F.from_xml("raw", PAGE_XML, {"ignoreSurroundingSpaces": "false"})
     pages = keep_apart(raw_pages, _page=xml)
-    broken = F.col(f"_page.{CORRUPT}").isNotNull()
-    texts = F.col("_page.revision.text._VALUE")
+    broken = F.col(f"_page.{CORRUPT}").isNotNull() | ~_one_page(F.col("raw"))
+    plain = F.array_join(F.col("_page.revision.text._VALUE"), "")
+    bodies = F.transform(text_bodies(without_sections(F.col("raw"))), own_text)
+    text = F.when(broken, F.lit("")).when(has_sections(F.col("raw")), F.array_join(bodies, "")).otherwise(plain)
     times = F.filter("_page.revision.timestamp", lambda t: t.isNotNull())
     pages = (
-        pages.withColumn("title", empty_if_null(F.col("_page.title")))
-        .withColumn("wikitext", empty_if_null(F.array_join(texts, "")))
+        pages.withColumn("title", F.when(broken, F.lit("")).otherwise(empty_if_null(F.get("_page.title", F.lit(0)))))
+        .withColumn("wikitext", empty_if_null(text))
         .withColumn("published_ts", iso_timestamp(F.get(times, F.lit(0))))
         .withColumn("source_url", F.concat(F.lit(cfg.source_url_base), F.col("title")))
         .withColumn("vertex_id", vertex_id(F.col("title"), cfg))
@@ -43,6 +46,14 @@ def parse_pages(raw_pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) ->
     return pages.withColumn("status", status).drop("_page")
 
 
+def _one_page(raw: Column) -> Column:
+    """Whether a record is one `page` element and nothing else."""
+    ends = F.regexp_count(raw, F.lit(r"</page\s*+>"))
+    framed = F.rlike(raw, F.lit(r"\A\s*+<page[\s>]")) & F.rlike(raw, F.lit(r"</page\s*+>\s*+\z"))
+    # A marker inside a section is text; such records are left to the reader.
+    return framed & ((ends == 1) | F.contains(raw, F.lit("<!")))
+
+
 def check_links(pages: DataFrame) -> DataFrame:
     """A page with a link that has no target is set aside as a whole."""
     missing = F.exists("links", lambda k: k["target"].isNull())
@@ -59,7 +70,7 @@ def build_pages(
 ) -> DataFrame:
     """Parse, convert and check: the table every graph builder starts from."""
     pages = check_links(convert_markup(parse_pages(raw_pages, cfg), rules, cfg))
-    return pages.withColumn("content_md5", F.md5("wikitext"))
+    return pages.withColumn("content_md5", F.md5("raw"))
 
 
 def good_pages(pages: DataFrame) -> DataFrame:

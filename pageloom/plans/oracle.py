@@ -315,12 +315,6 @@ def oracle_sql() -> dict[str, str]:
         FROM faults"""
     q["quarantine"] = _with(_FAULTS) + """
         SELECT title, file, status FROM faults WHERE status <> 'OK'"""
-    q["sink_keys"] = _with(CORPUS, LINKS, VERTICES) + """
-        SELECT table_name, table_name || chr(31) || to_base64(encode(row_key)) AS sink_key, n_rows FROM (
-            SELECT 'vertices' AS table_name, vertex_id AS row_key, 1::BIGINT AS n_rows FROM vertices
-            UNION ALL SELECT 'edges', src || chr(30) || dst, 1 FROM (SELECT DISTINCT src, dst FROM links)
-            UNION ALL SELECT 'audits', row_key, count(*) FROM (SELECT 'PAGE_' || name AS row_key FROM corpus)
-                GROUP BY row_key)"""
     q["rows_per_table"] = _with(CORPUS, LINKS, VERTICES) + """
         SELECT 'vertices' AS table_name, count(*) AS n_rows FROM vertices
         UNION ALL SELECT 'edges', count(*) FROM (SELECT DISTINCT src, dst FROM links)
@@ -335,6 +329,9 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT 'vertex_data', 2 * count(*) FROM current_page
         UNION ALL SELECT 'term_mentions', count(*) FROM (
             SELECT DISTINCT src, start_at, length(surface) FROM links)"""
+    q["import_files"] = q["import_tables"]
+    q["dump_files"] = f"SELECT vertex_id, title, wikitext, published, source_url, status FROM ({q['pages_fields']})"
+    q["page_line_files"] = f"SELECT vertex_id, wikitext, status FROM ({q['page_line_roundtrip']})"
     q["title_buckets"] = _with(CORPUS, LINKS, VERTICES) + f"""
         SELECT CASE WHEN regexp_matches(c, '[0-9A-Za-z]') THEN c ELSE '' END AS bucket,
                count(*) AS n_vertices

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.ids import sink_key, split_key, title_from_id
-from ..functions.strings import namespace, unescape_newlines
+from ..functions.ids import title_from_id
+from ..functions.strings import unescape_newlines
 from ..operators import graph as G
 from ..operators import layout as L
 from ..operators import merge as M
@@ -17,11 +17,11 @@ from ..sources.stage import stage, work_dir
 from ..operators.html import html_pages
 from ..operators.joins import check_edge_types, resolve_links, stubs_only
 from ..operators.parse import build_pages, good_pages, import_counters, parse_pages, quarantine
-from ..sources.dump import page_line
+from ..sources.dump import page_line, read_dump, read_page_lines, write_page_lines
 from ..sources.ontology import check_ontology, default_ontology
 from ..streaming.incremental import read_merged, stream_pages
 from . import corpus as K
-from .importer import import_pages, read_tables
+from .importer import import_pages, read_tables, run_import
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -41,9 +41,10 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _good_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages, converted once and written, for queries that read them repeatedly.
-    Each reader then scans only the columns it needs."""
-    return good_pages(stage(build_pages(K.raw_corpus(spark, sf_dir)), C.PAGES))
+    """The pages, converted once and written, for queries that read them repeatedly. Their
+    texts are not written: no such query reads them."""
+    pages = build_pages(K.raw_corpus(spark, sf_dir)).drop("raw", "wikitext", "text")
+    return good_pages(stage(pages, C.PAGES))
 
 
 def _lots(spark: SparkSession, sf_dir: str, style: str) -> DataFrame:
@@ -132,7 +133,7 @@ def _text_of(style: str) -> Query:
 @query
 def link_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = G.all_links(_pages(spark, sf_dir))
-    return links.where(namespace(F.col("target")).isNull() | (namespace(F.col("target")) != "Category")).select(
+    return links.select(
         "src",
         F.col("seq").cast("long").alias("seq"),
         "kind",
@@ -263,13 +264,6 @@ def _tables(pages: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-@query
-def sink_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = L.rows_per_key(L.union_outputs(_tables(_good_stored(spark, sf_dir))))
-    key = keyed.select(sink_key(F.col("table_name"), F.col("row_key")).alias("sink_key"), "n_rows")
-    return key.select(split_key(F.col("sink_key")).alias("table_name"), "sink_key", "n_rows")
-
-
 @query
 def rows_per_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _good_stored(spark, sf_dir)
@@ -284,23 +278,6 @@ def title_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.title_buckets(M.graph_vertices(_good_stored(spark, sf_dir)))
 
 
-@query
-def split_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.split_points(L.union_outputs(_tables(_good_stored(spark, sf_dir))))
-
-
-@query
-def range_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    laid_out = L.range_layout(
-        M.graph_vertices(_good_stored(spark, sf_dir)), L.ROW_KEYS[C.VERTICES], 8
-    )
-    return laid_out.groupBy(F.spark_partition_id().alias("partition")).agg(
-        F.min("vertex_id").alias("first_key"),
-        F.max("vertex_id").alias("last_key"),
-        F.count(F.lit(1)).alias("n_rows"),
-    )
-
-
 @query
 def edge_type_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers are given another concept; each of their edges must be reported."""
@@ -352,6 +329,46 @@ def import_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.rows_per_table(L.union_outputs(tables))
 
 
+# --- files -----------------------------------------------------------------------
+
+
+def _dump_files(spark: SparkSession, sf_dir: str) -> str:
+    """The pages as dump files, the orders compressed; the pattern that names them all."""
+    folder = work_dir(spark)
+    pages = K.raw_corpus(spark, sf_dir).select("raw", (F.col("file") == "orders.xml").alias("packed"))
+    pages.where("NOT packed").select("raw").write.text(f"{folder}/plain")
+    pages.where("packed").select("raw").write.option("compression", "bzip2").text(f"{folder}/packed")
+    return f"{folder}/*"
+
+
+def _fields(pages: DataFrame) -> DataFrame:
+    published = F.date_format("published_ts", "yyyy-MM-dd HH:mm:ss").alias("published")
+    return pages.select("vertex_id", "title", "wikitext", published, "source_url", "status")
+
+
+@query
+def dump_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan of plain and compressed dump files."""
+    return _fields(parse_pages(read_dump(spark, _dump_files(spark, sf_dir))))
+
+
+@query
+def page_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written one per line and read again."""
+    path = f"{work_dir(spark)}/lines"
+    write_page_lines(K.raw_corpus(spark, sf_dir), path)
+    return parse_pages(read_page_lines(spark, path)).select("vertex_id", "wikitext", "status")
+
+
+@query
+def import_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The import of dump files, as a user runs it."""
+    out = work_dir(spark)
+    run_import(spark, _dump_files(spark, sf_dir), out)
+    tables = {n: df for n, df in read_tables(spark, out).items() if n in L.ROW_KEYS}
+    return L.rows_per_table(L.union_outputs(tables))
+
+
 # --- streaming -------------------------------------------------------------------
 
 

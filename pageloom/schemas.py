@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 CORRUPT = "_corrupt_record"
 
 # One <page> element. Only the named fields are read; `text` is a struct because
-# the element carries attributes.
+# the element carries attributes. The first title counts, so all are read.
 PAGE_XML = (
-    "title string, "
+    "title array<string>, "
     "revision array<struct<timestamp: string, text: struct<_VALUE: string>>>, "
     f"{CORRUPT} string"
 )
-
-LINK = T.StructType(
-    [
-        T.StructField("kind", T.StringType()),
-        T.StructField("target", T.StringType()),
-        T.StructField("surface", T.StringType()),
-        T.StructField("start", T.IntegerType()),
-        T.StructField("end", T.IntegerType()),
-    ]
-)

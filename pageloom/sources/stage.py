@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder below the one the cluster names in `spark.checkpoint.dir`; a
-    temporary one only where none is named, as in local tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/pageloom-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="pageloom-")
+    """A fresh folder that all executors share: below the one the cluster names in
+    `spark.checkpoint.dir`, or below the warehouse where none is named."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/pageloom-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:

@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 from pageloom.functions.ids import edge_id, sink_key, split_key, title_from_id, title_key, vertex_id
 from pageloom.functions.strings import (
     base64_utf8,
-    grouped_number,
     iso_timestamp,
     java_trim,
-    namespace,
     strip_fragment,
     unescape_newlines,
 )
@@ -32,9 +30,6 @@ def test_strings(spark):
     assert str(one(spark, iso_timestamp(x), x="2014-01-02T03:04:05Z")) == "2014-01-02 03:04:05"
     assert one(spark, iso_timestamp(x), x="2014-13-02T03:04:05Z") is None
     assert one(spark, iso_timestamp(x), x="bad") is None
-    assert one(spark, namespace(x), x="category:X") == "Category"
-    assert one(spark, namespace(x), x=":Category:X") is None
-    assert one(spark, grouped_number(F.col("n")), n=1234567) == "1,234,567"
 
 
 def test_ids(spark):
