@@ -243,7 +243,7 @@ def learn_terms(rows: DataFrame) -> list[str]:
         p = a / (a + b)
         # Chernoff's bound of the chance that so many of the texts with the term are toxic.
         surprise = (a + b) * (p * np.log(p / share) + ((1 - p) * np.log((1 - p) / (1 - share)) if b else 0.0))
-        if p > 2 * share and surprise > -np.log(CHANCE):
+        if a * n_clean > 2 * b * n_toxic and surprise > -np.log(CHANCE):
             scored.append((a / n_toxic - 2 * b / n_clean, len(term), not term.endswith("*"), term))
     kept: list[str] = []
     for _, _, _, term in sorted(scored, reverse=True):
