@@ -149,22 +149,19 @@ def page_properties(
     return rows.where((F.col("name") != C.PUBLISHED_DATE) | F.col("value_ts").isNotNull())
 
 
+def page_data_structs(cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> dict[str, Column]:
+    """The large values of a page vertex: raw page (not indexed) and text."""
+    return {
+        C.RAW: _property(C.RAW, F.lit(None), cfg, value_bin=F.encode("raw", "UTF-8"), indexed=False),
+        C.TEXT: _property(C.TEXT, F.col("text"), cfg, metadata={"textDescription": cfg.text_description}),
+    }
+
+
 def page_data(
     pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """The large values of a page vertex: raw page (not indexed) and text."""
-    return _explode_properties(
-        pages,
-        [
-            _property(
-                C.RAW, F.lit(None), cfg, value_bin=F.encode("raw", "UTF-8"), indexed=False
-            ),
-            _property(
-                C.TEXT, F.col("text"), cfg, metadata={"textDescription": cfg.text_description}
-            ),
-        ],
-        carry,
-    )
+    """A row for each of `page_data_structs`."""
+    return _explode_properties(pages, list(page_data_structs(cfg).values()), carry)
 
 
 def stub_properties(stubs: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFrame:

@@ -329,6 +329,7 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT 'vertex_data', 2 * count(*) FROM current_page
         UNION ALL SELECT 'term_mentions', count(*) FROM (
             SELECT DISTINCT src, start_at, length(surface) FROM links)"""
+    q["resolved_hot_links"] = q["resolved_links"]
     q["import_files"] = q["import_tables"]
     q["dump_files"] = f"SELECT vertex_id, title, wikitext, published, source_url, status FROM ({q['pages_fields']})"
     q["page_line_files"] = f"SELECT vertex_id, wikitext, status FROM ({q['page_line_roundtrip']})"

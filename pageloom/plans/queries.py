@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from ..sources.dump import page_line, read_dump, read_page_lines, write_page_lin
 from ..sources.ontology import check_ontology, default_ontology
 from ..streaming.incremental import read_merged, stream_pages
 from . import corpus as K
-from .importer import import_pages, read_tables, run_import
+from .importer import import_pages, read_tables, run_import, superseded_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -168,11 +169,11 @@ def stub_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stubs_only(M.graph_vertices(_good_stored(spark, sf_dir))).select("vertex_id")
 
 
-def _resolve(how: str) -> Query:
+def _resolve(how: str, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages = _good_stored(spark, sf_dir)
         known = G.page_vertices(pages).select("vertex_id").distinct().withColumn("is_stub", F.lit(False))
-        return resolve_links(G.all_links(pages), known, how).select(
+        return resolve_links(G.all_links(pages), known, how, cfg).select(
             "src", F.col("seq").cast("long").alias("seq"), "dst", "target"
         )
 
@@ -190,13 +191,18 @@ def vertex_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def vertex_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = G.page_data(M.current_pages(_pages(spark, sf_dir)))
-    text = F.col("name") == C.TEXT
-    return rows.groupBy("vertex_id").agg(
-        F.max(F.when(text, F.col("value"))).alias("text"),
-        F.max(F.when(text, _flat("metadata"))).alias("metadata"),
-        F.max(F.when(~text, F.md5("value_bin"))).alias("raw_md5"),
-        F.max(F.when(~text, F.col("indexed"))).alias("raw_indexed"),
+    """Raw page and text of each vertex. The winners are decided on narrow rows; what is
+    wide is read where it was written and never shuffled."""
+    pages = build_pages(K.raw_corpus(spark, sf_dir)).withColumn("page_id", F.monotonically_increasing_id())
+    ok = good_pages(stage(pages, C.PAGES))
+    current = ok.join(superseded_pages(ok), "page_id", "left_anti")
+    raw, text = (G.page_data_structs()[n] for n in (C.RAW, C.TEXT))
+    return current.select("vertex_id", text.alias("t"), raw.alias("r")).select(
+        "vertex_id",
+        F.col("t.value").alias("text"),
+        _flat("t.metadata").alias("metadata"),
+        F.md5("r.value_bin").alias("raw_md5"),
+        F.col("r.indexed").alias("raw_indexed"),
     )
 
 
@@ -392,6 +398,8 @@ for _name, _style in (
 ):
     _QUERIES[_name] = _text_of(_style)
 _QUERIES["resolved_links"] = _resolve("left_semi")
+# Nearly every target is hot here, so that the spread joins are checked as well.
+_QUERIES["resolved_hot_links"] = _resolve("left_semi", replace(C.DEFAULT_CONFIG, hot_key_rows=2, salt_buckets=5))
 _QUERIES["unresolved_links"] = _resolve("left_anti")
 _QUERIES["import_counters"] = _QUERIES.pop("import_counters_query")
 _QUERIES["quarantine"] = _QUERIES.pop("quarantine_query")
