@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text worked on at once. One document is never split.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -47,24 +47,45 @@ _POWERS = Powers(_BASE)
 
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijection that spreads every bit over all others."""
-    h = h ^ (h >> np.uint64(30))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> np.uint64(27))
-    h = h * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    return _mix(h.copy())
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    """The same in place."""
+    spare = h >> np.uint64(30)
+    h ^= spare
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= np.right_shift(h, np.uint64(27), out=spare)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= np.right_shift(h, np.uint64(31), out=spare)
+    return h
 
 
 def prefix_hashes(data: np.ndarray, powers: Powers | None = None) -> np.ndarray:
     powers = powers or _POWERS
     powers.reach(len(data) + 1)
     out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers.up[: len(data)], out=out[1:])
+    terms = out[1:]
+    terms[:] = data
+    terms += np.uint64(1)
+    terms *= powers.up[: len(data)]
+    np.cumsum(terms, out=terms)
     return out
 
 
 def stretch_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers | None = None) -> np.ndarray:
     """Hashes of data[start:end]; equal stretches have equal hashes wherever they stand."""
-    return mixed((prefix[ends] - prefix[starts]) * (powers or _POWERS).down[starts])
+    h = prefix[ends]
+    h -= prefix[starts]
+    h *= (powers or _POWERS).down[starts]
+    return _mix(h)
+
+
+def rolling_hashes(prefix: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all stretches of one width, by start."""
+    h = prefix[width:] - prefix[:-width]
+    h *= _POWERS.down[: len(h)]
+    return _mix(h)
 
 
 @dataclass
