@@ -11,6 +11,10 @@ import os
 import sys
 import time
 
+from pyspark.sql import functions as F
+
+from pageloom.operators.parse import build_pages
+from pageloom.plans import corpus
 from pageloom.plans.queries import queries
 from pageloom.session import local_session
 
@@ -28,6 +32,25 @@ HEADLINE = (
 )
 
 
+def long_pages(spark, sf_dir: str, cpus: int) -> tuple[float, float]:
+    """Seconds to convert pages that hold the whole documents, and MB of them per second and
+    core: short pages mostly show what a row costs."""
+    docs = corpus.read_table(spark, sf_dir, "documents").repartition(4 * cpus)
+    raw = corpus.page_xml(
+        docs.select(
+            F.concat(F.lit("Document "), F.col("doc_id")).alias("title"),
+            F.lit(corpus.FIXED_TIME).alias("timestamp"),
+            F.col("text").alias("wikitext"),
+            F.lit("documents.xml").alias("file"),
+        )
+    )
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    start = time.perf_counter()
+    build_pages(raw).write.format("noop").mode("overwrite").save()
+    seconds = time.perf_counter() - start
+    return seconds, size / 1e6 / seconds / cpus
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -41,6 +64,9 @@ def main() -> None:
         queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
+    rate = None
+    if not sys.argv[1:]:
+        seconds["long_pages"], rate = (round(x, 3) for x in long_pages(spark, sf_dir, cpus))
     spark.stop()
     print(
         json.dumps(
@@ -49,6 +75,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "long_pages_mb_per_core_second": rate,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
             }
         )
