@@ -10,8 +10,11 @@ no new hit is found. What is found is verified by its cosine in double precision
 
 Equal vectors are one vector with a weight. A shard of many vectors is dealt in blocks, and
 every two blocks meet in a task. A pair that shares several shards counts in one of them, so
-tasks return one row per vector, never pairs. The audit compares a fixed query set with brute
-force in blocks.
+tasks return one row per vector, never pairs.
+
+The audit compares vectors whose id is divisible by AUDIT_EVERY, AUDIT_QUERIES of them at most,
+with all rows by brute force. While less than RECALL of their links was found, the search is
+done again with vectors in more shards.
 """
 
 from __future__ import annotations
@@ -42,6 +45,9 @@ LIST_SIZE = 32
 # Edges lead on from vectors this much below the similarity that counts.
 REACH = 0.1
 AUDIT_EVERY = 100
+AUDIT_QUERIES = 2_000
+RECALL = 0.98
+MOST_CELLS = 24
 
 
 def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -286,5 +292,43 @@ def valid(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & fine & F.exists(x, lambda c: c != 0), F.lit(False))
 
 
+def audit_recall(
+    vectors: DataFrame, found: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", similarity: float = SIMILARITY
+) -> float:
+    """The share of the links of the audited vectors that `found` (of `near_vectors`) counts;
+    1 where they have none. Ids must be whole numbers; repeated ones are left out."""
+    spark = vectors.sparkSession
+    python_ready(spark)
+    units = unit_vectors(vectors, id_col, vector_col)
+    asked = units.where(F.col("id") % AUDIT_EVERY == 0).groupBy("id").agg(F.count("*").alias("n"), F.first("v").alias("v"))
+    rows = asked.where("n = 1").orderBy(F.xxhash64("id"), "id").limit(AUDIT_QUERIES).collect()
+    if not rows:
+        return 1.0
+    queries = spark.sparkContext.broadcast((np.array([r["id"] for r in rows]), np.array([r["v"] for r in rows])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, q = queries.value
+        n = np.zeros(len(ids), dtype=np.int64)
+        for batch in batches:
+            n += (_matrix(batch.column(1)) @ q.T >= similarity).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n)], names=["id", "n"])
+
+    # A vector links with itself in these counts.
+    exact = units.select(F.col("id").cast("long").alias("id"), "v").mapInArrow(run, "id long, n long").groupBy("id").agg((F.sum("n") - 1).alias("n"))
+    both = exact.join(found.select(F.col(id_col).cast("long").alias("id"), "n_links"), "id")
+    row = both.agg(F.sum("n").alias("all"), F.sum(F.least("n", "n_links")).alias("found")).first()
+    return row["found"] / row["all"] if row["all"] else 1.0
+
+
+def audited_near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", similarity: float = SIMILARITY) -> DataFrame:
+    """`near_vectors` with as many shards per vector as the audit asks for."""
+    cells = CELLS
+    while True:
+        found = staged(near_vectors(vectors, id_col, vector_col, similarity, cells))
+        if cells >= MOST_CELLS or audit_recall(vectors, found, id_col, vector_col, similarity) >= RECALL:
+            return found
+        cells *= 2
+
+
 def op4_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_vectors(table(spark, sf_dir, "embeddings"))
+    return audited_near_vectors(table(spark, sf_dir, "embeddings"))

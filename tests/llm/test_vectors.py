@@ -72,3 +72,20 @@ def test_recall_on_a_given_table(spark, sf_dir):
     want = brute([(r["vec_id"], r["embedding"]) for r in table.collect()])
     got = sorted(map(tuple, V.near_vectors(table).select("vec_id", "n_links", "component_id").collect()))
     assert got == want
+
+
+def test_audit_sees_what_is_missing_and_asks_for_more(spark, case, monkeypatch):
+    rows = [(i * 100, v) for i, v in case]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = V.near_vectors(table)
+    assert V.audit_recall(table, found) > 0.98
+    none = found.withColumn("n_links", found["n_links"] * 0)
+    assert V.audit_recall(table, none) == 0.0
+    tried = []
+
+    def poor(vectors, id_col, vector_col, similarity, cells):
+        tried.append(cells)
+        return found if cells > 3 else none
+
+    monkeypatch.setattr(V, "near_vectors", poor)
+    assert sorted(map(tuple, V.audited_near_vectors(table).collect())) == sorted(map(tuple, found.collect())) and tried == [3, 6]
