@@ -34,15 +34,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import python_ready, staged, table
-from .words import Chunk, Powers, chunks, mixed, prefix_hashes, stretch_hashes
+from .words import Chunk, Powers, chunks, mixed, prefix_hashes, rolling_hashes, stretch_hashes
 
 LENGTH = 200
 GRAM = 96
 # Anchors that one bucket holds, on average; bytes of surroundings that one cell holds.
 BUCKET_ANCHORS = 400_000
-CELL_BYTES = 4 << 20
+CELL_BYTES = 1 << 19
 # An anchor with more surroundings than this is decided by a distributed count.
-HOT = 20_000
+HOT = 2_000
 _POSITION = np.uint64((1 << 28) - 1)
 _SECOND = Powers(0xD1342543DE82EF95)
 
@@ -78,13 +78,17 @@ def anchors_of(chunk: Chunk, length: int, gram: int) -> Anchors:
     none = np.zeros(0, dtype=np.int64)
     if n < length:
         return Anchors(none, none, none, none.astype(np.uint64), none.astype(np.uint64))
-    prefix = prefix_hashes(data)
-    place = np.arange(n - gram + 1)
-    grams = stretch_hashes(prefix, place, place + gram)
+    grams = rolling_hashes(prefix_hashes(data), gram)
     # The leftmost of equal hashes, by the place in the low bits.
-    least = sliding_minimum((grams & ~_POSITION) | (place.astype(np.uint64) & _POSITION), length - gram + 1)
-    ends = np.repeat(chunk.offsets[1:], np.diff(chunk.offsets))[: len(least)]
-    start = np.flatnonzero(np.arange(len(least)) + length <= ends)
+    keys = grams & ~_POSITION
+    keys |= np.arange(len(grams), dtype=np.uint64) & _POSITION
+    least = sliding_minimum(keys, length - gram + 1)
+    # Windows that end in the document they begin in.
+    inside = np.zeros(len(least) + 1, dtype=np.int8)
+    sizes = np.diff(chunk.offsets)
+    np.add.at(inside, chunk.offsets[:-1][sizes >= length], 1)
+    np.add.at(inside, chunk.offsets[1:][sizes >= length] - length + 1, -1)
+    start = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8))
     # Places beyond the bits' range are counted from the window's own.
     at = (least[start] & _POSITION).astype(np.int64) - (start & int(_POSITION))
     at = start + np.where(at < 0, at + int(_POSITION) + 1, at)
@@ -95,7 +99,8 @@ def anchors_of(chunk: Chunk, length: int, gram: int) -> Anchors:
     at, first, last = at[opens], start[opens], start[closes]
     around = prefix_hashes(data, _SECOND)
     around = mixed(stretch_hashes(around, first, last + length, _SECOND) + (at - first).astype(np.uint64))
-    return Anchors(at, first, last, grams[at], around)
+    # Least hashes are small ones; mixed again they fill the buckets evenly.
+    return Anchors(at, first, last, mixed(grams[at]), around)
 
 
 @dataclass

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text worked on at once. One document is never split.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _LOWER = np.arange(256, dtype=np.uint8)
