@@ -4,23 +4,27 @@ Vectors are dealt to overlapping shards: each goes to its CELLS nearest centroid
 fitted on a bounded sample. In each shard a flat graph is built: nearest candidates, pruned
 so that a kept neighbour is not closer to another kept one (with slack ALPHA), and reversed.
 The lists that a vector has in its shards are united. Then each vector is searched for in its
-shards: a greedy search from the shard's medoid with a list of LIST_SIZE, then the range
-expands: everything within reach of a hit, by edges of the united lists, is looked at until
-no new hit is found. What is found is verified by its cosine in double precision.
+shards: greedy searches with a list of LIST_SIZE, from the shard's medoid and from an entry
+into each part of the graph that no edges lead to from there; together with the vector itself
+and its neighbours that is where the range expands: everything within reach of a hit, by
+edges of the united lists, is looked at until no new hit is found. Parts that the angles
+prove to hold no hit are left out. What is found is verified by its cosine in double
+precision, and a link that one of two vectors finds counts for both.
 
 Equal vectors are one vector with a weight. A shard of many vectors is dealt in blocks, and
 every two blocks meet in a task. A pair that shares several shards counts in one of them, so
 tasks return one row per vector, never pairs.
 
-The audit compares vectors whose id is divisible by AUDIT_EVERY, AUDIT_QUERIES of them at most,
-with all rows by brute force. While less than RECALL of their links was found, the search is
-done again with vectors in more shards.
+The audit compares all vectors whose id is divisible by AUDIT_EVERY, AUDIT_QUERIES of them at
+a time, with all rows by brute force. While less than RECALL of their links was found, the
+search is done again with vectors in more shards. Where MOST_CELLS do not suffice, or a vector
+is in all shards already, all vectors are compared, block by block.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -179,11 +183,35 @@ def greedy(x: np.ndarray, graph: list[np.ndarray], start: int, q: np.ndarray, si
     return [o for _, o in best]
 
 
-def range_search(x: np.ndarray, graph: list[np.ndarray], start: int, q: np.ndarray, similarity: float) -> np.ndarray:
-    """Vectors within `similarity` of q that the search reaches."""
+def entries(x: np.ndarray, graph: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors from which all others are reached: the medoid, then the medoid of what is left,
+    and so on; and for each the widest angle to what it is the first to reach."""
+    left = np.ones(len(x), dtype=bool)
+    starts, angles = [], []
+    while left.any():
+        rest = np.flatnonzero(left)
+        start = int(rest[np.argmax(x[rest] @ x[rest].mean(axis=0))])
+        front = np.array([start])
+        least = 1.0
+        while len(front):
+            left[front] = False
+            least = min(least, float((x[front] @ x[start]).min()))
+            near = np.unique(np.concatenate([graph[k] for k in front.tolist()]))
+            front = near[left[near]]
+        starts.append(start)
+        angles.append(np.arccos(max(least, -1.0)))
+    return np.array(starts, dtype=np.int64), np.array(angles)
+
+
+def range_search(x: np.ndarray, graph: list[np.ndarray], starts: Iterable[int], k: int, similarity: float) -> np.ndarray:
+    """Vectors within `similarity` of x[k] that the search reaches."""
+    q = x[k]
     seen = np.zeros(len(x), dtype=bool)
-    front = np.array(greedy(x, graph, start, q, LIST_SIZE), dtype=np.int64)
-    seen[front] = True
+    seen[k] = True
+    seen[graph[k]] = True
+    for start in starts:
+        seen[greedy(x, graph, start, q, LIST_SIZE)] = True
+    front = np.flatnonzero(seen)
     hits = []
     while len(front):
         sims = x[front] @ q
@@ -205,19 +233,31 @@ def build_shard(rows: pa.Table) -> pa.Table:
 
 
 def search_shard(rows: pa.Table, similarity: float) -> pa.Table:
-    """rep, root, links of one shard: every vector searched for in the united graph."""
+    """rep, root, links of one shard: every vector searched for in the united graph, or
+    compared with all others where there are no neighbours."""
     rep, side = rows.column("rep").to_numpy(), rows.column("side").to_numpy()
     order = np.argsort(rep, kind="stable")
     rows, rep, side = rows.take(pa.array(order)), rep[order], side[order]
     x, copies = _matrix(rows.column("v")), rows.column("copies").to_numpy()
     cells = _matrix(rows.column("cells"))
     cell, a, b = (rows.column(c)[0].as_py() for c in ("cell", "a", "b"))
-    graph = []
-    for own in rows.column("neighbours").combine_chunks():
-        ids = own.values.to_numpy() if own.values is not None else np.zeros(0, dtype=np.int64)
-        at = np.minimum(np.searchsorted(rep, ids), len(rep) - 1)
-        graph.append(at[rep[at] == ids])
-    start = int(np.argmax(x @ x.mean(axis=0)))
+    near = np.zeros((len(rep), len(rep)), dtype=bool)
+    if "neighbours" in rows.column_names:
+        graph = []
+        for own in rows.column("neighbours").combine_chunks():
+            ids = own.values.to_numpy() if own.values is not None else np.zeros(0, dtype=np.int64)
+            at = np.minimum(np.searchsorted(rep, ids), len(rep) - 1)
+            graph.append(at[rep[at] == ids])
+        starts, angles = entries(x, graph)
+        # Angles are a metric: a part holds no hit if its entry is further away than this.
+        farthest = angles + np.arccos(np.clip(similarity, -1, 1)) + 1e-6
+        for k in range(len(rep)):
+            away = np.arccos(np.clip(x[starts] @ x[k], -1, 1))
+            hits = range_search(x, graph, starts[away <= farthest].tolist(), k, similarity)
+            near[k, hits] = near[hits, k] = True
+    else:
+        for k in range(0, len(rep), 512):
+            near[k : k + 512] = x[k : k + 512] @ x.T >= similarity
     links, root = np.zeros(len(rep), dtype=np.int64), np.arange(len(rep))
 
     def find(k: int) -> int:
@@ -227,7 +267,7 @@ def search_shard(rows: pa.Table, similarity: float) -> pa.Table:
         return k
 
     for k in range(len(rep)):
-        hits = range_search(x, graph, start, x[k], similarity)
+        hits = np.flatnonzero(near[k])
         hits = hits[hits != k]
         # In the first cell that both have; inside a block, where the block meets its first other one.
         both = (cells[hits][:, :, None] == cells[k][None, None, :]).any(axis=2)
@@ -253,7 +293,8 @@ def near_vectors(
     Vectors that are null or zero or hold null or non-finite components link with nothing.
     Equal directions are linked. Repeated ids are rows of their own, and a component's id is
     the smallest of its rows'. Vectors must have one length; other columns are not read. An
-    empty table gives no rows.
+    empty table gives no rows. With more `cells` than there are shards, or than MOST_CELLS,
+    all vectors are compared.
     """
     spark = vectors.sparkSession
     python_ready(spark)
@@ -261,14 +302,19 @@ def near_vectors(
     distinct = units.groupBy("v").agg(F.count("*").alias("copies"), F.min("id").alias("least"))
     distinct = staged(distinct.withColumn("rep", F.monotonically_increasing_id()))
     n = distinct.count()
-    placed = staged(in_cells(distinct, centroids_of(distinct, n), cells)) if n else distinct.withColumn("cells", F.array().cast("array<int>"))
     shard = ("cell", "a", "b")
-    built = deal_shards(placed.select("rep", "v", "cells")).groupBy(*shard).applyInArrow(build_shard, "rep long, neighbours array<long>")
-    # A vector is in a bounded number of shards, or meets in each the blocks of a hot cell.
-    united = built.select("rep", F.explode("neighbours").alias("o")).distinct().groupBy("rep").agg(F.collect_list("o").alias("neighbours"))
-    graph = staged(placed.join(united, "rep", "left").withColumn("neighbours", F.coalesce("neighbours", F.array().cast("array<long>"))))
+    centroids = centroids_of(distinct, n) if n else np.zeros((0, 1))
+    if cells > min(MOST_CELLS, max(CELLS, len(centroids))):
+        # One shard, whose blocks all meet.
+        graph = distinct.withColumn("cells", F.array(F.lit(0)))
+    else:
+        placed = staged(in_cells(distinct, centroids, cells)) if n else distinct.withColumn("cells", F.array().cast("array<int>"))
+        built = deal_shards(placed.select("rep", "v", "cells")).groupBy(*shard).applyInArrow(build_shard, "rep long, neighbours array<long>")
+        # A vector is in a bounded number of shards, or meets in each the blocks of a hot cell.
+        united = built.select("rep", F.explode("neighbours").alias("o")).distinct().groupBy("rep").agg(F.collect_list("o").alias("neighbours"))
+        graph = staged(placed.join(united, "rep", "left").withColumn("neighbours", F.coalesce("neighbours", F.array().cast("array<long>"))))
     found = staged(
-        deal_shards(graph.select("rep", "v", "cells", "copies", "neighbours"))
+        deal_shards(graph.drop("least"))
         .groupBy(*shard).applyInArrow(lambda t: search_shard(t, similarity), "rep long, root long, links long")
     )
     linked = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
@@ -299,33 +345,40 @@ def audit_recall(
     1 where they have none. Ids must be whole numbers; repeated ones are left out."""
     spark = vectors.sparkSession
     python_ready(spark)
-    units = unit_vectors(vectors, id_col, vector_col)
+    units = unit_vectors(vectors, id_col, vector_col).select(F.col("id").cast("long").alias("id"), "v")
     asked = units.where(F.col("id") % AUDIT_EVERY == 0).groupBy("id").agg(F.count("*").alias("n"), F.first("v").alias("v"))
-    rows = asked.where("n = 1").orderBy(F.xxhash64("id"), "id").limit(AUDIT_QUERIES).collect()
-    if not rows:
-        return 1.0
-    queries = spark.sparkContext.broadcast((np.array([r["id"] for r in rows]), np.array([r["v"] for r in rows])))
+    asked = staged(asked.where("n = 1").select("id", "v"))
+    counted = found.select(F.col(id_col).cast("long").alias("id"), "n_links")
+    blocks = -(-asked.count() // AUDIT_QUERIES)
+    all_ = right = 0
+    for block in range(blocks):
+        rows = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).collect()
+        if not rows:
+            continue
+        queries = spark.sparkContext.broadcast((np.array([r["id"] for r in rows]), np.array([r["v"] for r in rows])))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, q = queries.value
-        n = np.zeros(len(ids), dtype=np.int64)
-        for batch in batches:
-            n += (_matrix(batch.column(1)) @ q.T >= similarity).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n)], names=["id", "n"])
+        def run(batches: Iterator[pa.RecordBatch], queries=queries) -> Iterator[pa.RecordBatch]:
+            ids, q = queries.value
+            n = np.zeros(len(ids), dtype=np.int64)
+            for batch in batches:
+                n += (_matrix(batch.column(1)) @ q.T >= similarity).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n)], names=["id", "n"])
 
-    # A vector links with itself in these counts.
-    exact = units.select(F.col("id").cast("long").alias("id"), "v").mapInArrow(run, "id long, n long").groupBy("id").agg((F.sum("n") - 1).alias("n"))
-    both = exact.join(found.select(F.col(id_col).cast("long").alias("id"), "n_links"), "id")
-    row = both.agg(F.sum("n").alias("all"), F.sum(F.least("n", "n_links")).alias("found")).first()
-    return row["found"] / row["all"] if row["all"] else 1.0
+        # A vector links with itself in these counts.
+        exact = units.mapInArrow(run, "id long, n long").groupBy("id").agg((F.sum("n") - 1).alias("n"))
+        row = exact.join(counted, "id").agg(F.sum("n").alias("all"), F.sum(F.least("n", "n_links")).alias("found")).first()
+        all_, right = all_ + (row["all"] or 0), right + (row["found"] or 0)
+        queries.unpersist()
+    return right / all_ if all_ else 1.0
 
 
 def audited_near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", similarity: float = SIMILARITY) -> DataFrame:
-    """`near_vectors` with as many shards per vector as the audit asks for."""
+    """`near_vectors` with as many shards per vector as the audit asks for; beyond MOST_CELLS
+    it compares all vectors."""
     cells = CELLS
     while True:
         found = staged(near_vectors(vectors, id_col, vector_col, similarity, cells))
-        if cells >= MOST_CELLS or audit_recall(vectors, found, id_col, vector_col, similarity) >= RECALL:
+        if cells > MOST_CELLS or audit_recall(vectors, found, id_col, vector_col, similarity) >= RECALL:
             return found
         cells *= 2
 

@@ -89,3 +89,43 @@ def test_audit_sees_what_is_missing_and_asks_for_more(spark, case, monkeypatch):
 
     monkeypatch.setattr(V, "near_vectors", poor)
     assert sorted(map(tuple, V.audited_near_vectors(table).collect())) == sorted(map(tuple, found.collect())) and tried == [3, 6]
+
+
+def families(n, size, dims=64, noise=0.02):
+    rng = np.random.default_rng(9)
+    rows = []
+    for _ in range(n):
+        base = rng.normal(size=dims)
+        base /= np.linalg.norm(base)
+        rows += [[float(x) for x in base + rng.normal(size=dims) * noise] for _ in range(size)]
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("block", [2000, 300])
+def test_large_families_of_near_copies_in_one_shard(spark, block, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK", block)
+    rows = families(8, 125)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in V.near_vectors(table).collect())
+    assert got == brute(rows)
+
+
+def test_more_cells_than_shards_compare_all(spark, case, monkeypatch):
+    def no_graph(*_):
+        raise AssertionError
+
+    monkeypatch.setattr(V, "BLOCK", 40)
+    monkeypatch.setattr(V, "in_cells", no_graph)
+    table = spark.createDataFrame(case, "vec_id long, embedding array<double>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in V.near_vectors(table, cells=2 * V.CELLS).collect())
+    assert got == brute(case)
+
+
+def test_audit_reads_every_vector_it_names(spark, case, monkeypatch):
+    table = spark.createDataFrame([(i * 100, v) for i, v in case], "vec_id long, embedding array<double>")
+    found = V.near_vectors(table)
+    poor = found.withColumn("n_links", found["n_links"] * (found["vec_id"] % 200 == 0).cast("int"))
+    whole = V.audit_recall(table, poor)
+    assert 0 < whole < 1
+    monkeypatch.setattr(V, "AUDIT_QUERIES", 50)
+    assert V.audit_recall(table, poor) == whole
