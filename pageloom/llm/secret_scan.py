@@ -51,6 +51,17 @@ MORE_RULES = (
     Rule("github", r"gh[posu]_[A-Za-z0-9]{36,}"),
 )
 RULES = BASE_RULES + MORE_RULES
+# A key runs to its END line, or to the end of its base64 lines where that is missing or cut.
+# All repeats are possessive: a long text costs one pass and no stack.
+_BLANK = r"""(?:[\s>"',|#*;]|\\[nrt])*+"""
+PEM_KEY = (
+    MORE_RULES[0].pattern
+    + r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
+    + rf"|(?:{_BLANK}(?:Proc-Type|DEK-Info|[A-Z][A-Za-z]*+-[A-Za-z-]*+): [^\r\n\\]*+)*+"
+    + rf"(?:{_BLANK}[A-Za-z0-9+/]{{16,}}+=*+|(?:\r?\n|\\n)[\t >]*+[A-Za-z0-9+/]++=*+(?=[\t ]*+(?:[\r\n]|\\[nr]|$)))*+)"
+)
+# What is masked: whole keys. The spans of the query stay those of its SQL, which ends at the header.
+MASKED_RULES = tuple(Rule("pem", PEM_KEY) if r.kind == "pem" else r for r in RULES)
 
 
 def gram_index(docs: DataFrame, rules: tuple[Rule, ...], text_col: str, grams: str) -> DataFrame:
@@ -127,7 +138,7 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = MASKED_RULES, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
     """`docs` with each run of overlapping spans in the text replaced by `mask`. Texts without
     spans, null ones included, stay as they are."""
     spans, cuts = free_name(docs, "_spans"), free_name(docs, "_cuts")

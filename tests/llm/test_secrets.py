@@ -1,4 +1,6 @@
+import random
 import re
+import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +80,23 @@ def test_empty_table_and_no_python(make_docs):
     assert X.find_secrets(make_docs([]), spans_col="own").collect() == []
     plan = X.redact(make_docs(["a"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_no_line_of_a_private_key_is_left(make_docs):
+    rng = random.Random(3)
+    letters = string.ascii_letters + string.digits + "+/"
+    lines = ["".join(rng.choices(letters, k=64)) for _ in range(25)] + ["Ab3+x9/Q=="]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123ABCD", ""]
+    whole = ["\n".join([head, *lines, end]), "\r\n".join([head, *fields, *lines, end]), "\\n".join([head, *lines, end]), " ".join([head, *lines, end])]
+    whole.append("\n> ".join([head, *lines, end]))
+    cut = ["\n".join([head, *lines]), "\n".join([head, *fields, *lines]), "\n".join([head, *lines, "-----END RSA PRIV"]), "\\n".join([head, *lines])]
+    texts = [f"before é {k}\nafter it comes prose" for k in whole + cut] + [f"{whole[0]} between {whole[1]} end", f"{head} is a header, no key"]
+    texts += [f"{head}\n" * 300, head + "\n" + "a-b " * 200_000]
+    rows = {r["doc_id"]: r["text"] for r in X.redact(make_docs(texts)).collect()}
+    for k in range(len(whole + cut) + 1):
+        assert not any(x in rows[k] for x in [*lines, "ENCRYPTED", "0123ABCD", "BEGIN"]), k
+    for k in range(len(whole + cut)):
+        assert rows[k].startswith("before é [SECRET]") and rows[k].endswith("after it comes prose")
+    assert rows[9] == "[SECRET] between [SECRET] end" and rows[10] == "[SECRET] is a header, no key"
+    assert "BEGIN" not in rows[11] and rows[12].endswith("a-b " * 200_000)
