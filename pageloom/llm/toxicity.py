@@ -4,7 +4,9 @@ The lexicon is learned from labelled rows: whole words, and stems that a word be
 that mark toxic texts. All terms form a trie. The Levenshtein automata of the terms are its
 states with a number of edits, taken together: a set of (trie node, edits) per letter read.
 The sets are made once each and then looked up, so that a word costs a look-up per letter,
-and most words end after two or three.
+and most words end after two or three. Longer terms take more edits (SPELLING), a swap of two
+letters is one edit, and words that marks cut apart are also read with their marks. A word that
+is only near a term and that clean texts hold as well is a word of its own and no hit.
 
 A hit counts by its term and edits, by how much they tell in the labelled rows, and by its
 context window: hits inside quotation marks or after words of reporting count apart from
@@ -36,15 +38,21 @@ STEM = (3, 8)
 LEAST_TEXTS = 3
 MOST_TERMS = 2_000
 CHANCE = 1e-6
-# Terms of fewer letters are matched as they stand: one edit makes most short words alike.
+# Terms of fewer letters are matched as they stand where nothing is known of look-alikes.
 EDIT_LETTERS = 5
+# Letters from which a term takes one edit and two, where the labelled rows tell look-alikes.
+SPELLING = (4, 7)
+MOST_EDITS = 2
 # A term counts by how often a text holds it, up to so many times.
 LEVELS = 4
 # Characters on either side of a hit that are its context.
 WINDOW = 48
 KNOWN_WORDS = 200_000
+KNOWN_STATES = 50_000
 
 _WORD = re.compile(r"[^\W_]+")
+# Words that one or two marks cut apart.
+_MARKED = re.compile(r"(?<![^\W_])[^\W_]++(?:(?:[^\w\s]|_){1,2}+[^\W_]++)++")
 # Marks and words of quotation, words of address.
 _OPENING, _CLOSING = '"“«„‘\'', '"”»“’\''
 _REPORTING = frozenset("said says called calls word words term quote quoted quotes wrote".split())
@@ -57,67 +65,92 @@ Hit = tuple[int, int, bool, bool]  # term, edits, quoted, addressed
 
 
 class LexiconAutomaton:
-    """All words within one edit of a term. A term that ends with `*` is a stem."""
+    """All words within so many edits of a term: the n-th number of `spelling` is the letters
+    from which a term takes n edits. A term that ends with `*` is a stem. With `swaps`, two
+    letters in the wrong order are one edit. Words of `own` match as they stand only."""
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], spelling: tuple[int, ...] = (EDIT_LETTERS,), swaps: bool = False, own: frozenset[str] = frozenset()):
+        self.swaps, self.own = swaps, own
         self.children: list[dict[str, int]] = [{}]
         self.word_at: list[int | None] = [None]
         self.stem_at: list[int | None] = [None]
+        self.takes = [sum(len(t.rstrip("*")) >= n for n in spelling) for t in terms]
+        # The most edits that a term at the node or below it takes.
+        self.most: list[int] = [0]
         for k, term in enumerate(terms):
             letters = term.rstrip("*")
             node = 0
             for c in letters:
+                self.most[node] = max(self.most[node], self.takes[k])
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
                     self.word_at.append(None)
                     self.stem_at.append(None)
+                    self.most.append(0)
                 node = self.children[node][c]
+            self.most[node] = max(self.most[node], self.takes[k])
             (self.stem_at if term.endswith("*") else self.word_at)[node] = k
-        self.takes_edit = [len(t.rstrip("*")) >= EDIT_LETTERS for t in terms]
+        self._known: dict[str, tuple] = {}
+        self._forget()
+
+    def _forget(self) -> None:
         self._sets: dict[tuple, int] = {}
         self._members: list[tuple[tuple, frozenset]] = []
         self._moves: list[dict[str, int]] = []
         self._ends: list[tuple] = []
-        self._start = self._state({0: 0}, frozenset())
-        self._known: dict[str, tuple] = {}
-
-    def _state(self, nodes: dict[int, int], stems: frozenset) -> int:
-        # A letter of the term may be missing in the word.
-        for node, e in list(nodes.items()):
-            if e == 0:
-                for child in self.children[node].values():
-                    nodes.setdefault(child, 1)
+        self._start = self._state({(0, ""): 0}, frozenset())
+
+    def _state(self, nodes: dict[tuple[int, str], int], stems: frozenset) -> int:
+        """Members are (trie node, letter read before its turn or none): edits."""
+        # Letters of the term may be missing in the word.
+        todo = [n for n in nodes if not n[1]]
+        while todo:
+            at = todo.pop()
+            e = nodes[at] + 1
+            for child in self.children[at[0]].values():
+                if e <= self.most[child] and e < nodes.get((child, ""), MOST_EDITS + 1):
+                    nodes[child, ""] = e
+                    todo.append((child, ""))
         found = dict(stems)
-        for node, e in nodes.items():
-            k = self.stem_at[node]
-            if k is not None and (e == 0 or self.takes_edit[k]):
-                found[k] = min(e, found.get(k, e))
+        ends: dict[int, int] = {}
+        for (node, early), e in nodes.items():
+            for k, out in ((self.stem_at[node], found), (self.word_at[node], ends)):
+                if k is not None and not early and e <= self.takes[k]:
+                    out[k] = min(e, out.get(k, e))
+        for k, e in found.items():
+            ends[k] = min(e, ends.get(k, e))
         key = (tuple(sorted(nodes.items())), frozenset(found.items()))
         if key not in self._sets:
             self._sets[key] = len(self._members)
             self._members.append(key)
             self._moves.append({})
-            ends = dict(found)
-            for node, e in nodes.items():
-                k = self.word_at[node]
-                if k is not None and (e == 0 or self.takes_edit[k]):
-                    ends[k] = min(e, ends.get(k, e))
             self._ends.append(tuple(sorted(ends.items())))
         return self._sets[key]
 
     def _step(self, state: int, letter: str) -> int:
-        nodes: dict[int, int] = {}
+        nodes: dict[tuple[int, str], int] = {}
+
+        def reach(node: int, early: str, e: int) -> None:
+            if e <= self.most[node] and e < nodes.get((node, early), MOST_EDITS + 1):
+                nodes[node, early] = e
+
         members, stems = self._members[state]
-        for node, e in members:
+        for (node, early), e in members:
             child = self.children[node].get(letter)
+            if early:
+                second = None if child is None else self.children[child].get(early)
+                if second is not None:
+                    reach(second, "", e)
+                continue
             if child is not None:
-                nodes[child] = min(e, nodes.get(child, e))
-        for node, e in members:
-            if e == 0:
-                nodes.setdefault(node, 1)  # a letter too many
-                for child in self.children[node].values():
-                    nodes.setdefault(child, 1)  # another letter
+                reach(child, "", e)
+            if e < self.most[node]:
+                reach(node, "", e + 1)  # a letter too many
+                for other in self.children[node].values():
+                    reach(other, "", e + 1)  # another letter
+                    if self.swaps and letter in self.children[other]:
+                        reach(node, letter, e + 1)
         self._moves[state][letter] = found = self._state(nodes, stems)
         return found
 
@@ -125,6 +158,8 @@ class LexiconAutomaton:
         """Pairs (term, edits)."""
         found = self._known.get(word)
         if found is None:
+            if len(self._members) >= KNOWN_STATES:
+                self._forget()
             state = self._start
             for letter in word:
                 after = self._moves[state].get(letter)
@@ -132,6 +167,8 @@ class LexiconAutomaton:
                 if not self._members[state][0]:
                     break
             found = self._ends[state]
+            if word in self.own:
+                found = tuple((k, e) for k, e in found if not e)
             if len(self._known) >= KNOWN_WORDS:
                 self._known.clear()
             self._known[word] = found
@@ -149,33 +186,56 @@ def _context(text: str, start: int, end: int) -> tuple[bool, bool]:
     return quoted, any(w in _ADDRESS for w in near + _WORD.findall(after)[:3])
 
 
+def _marked(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """start, end and parts of what one or two marks cut apart: they may stand for letters."""
+    for run in _MARKED.finditer(text):
+        parts = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(text, run.start(), run.end())]
+        for k, (start, end, _) in enumerate(parts):
+            marks = 0
+            for n in range(k + 1, min(k + MOST_EDITS + 1, len(parts))):
+                marks += parts[n][0] - end
+                end = parts[n][1]
+                if marks > MOST_EDITS:
+                    break
+                yield start, end, [p[2] for p in parts[k : n + 1]]
+
+
 def hits_of(automaton: LexiconAutomaton, text: str | None) -> list[Hit]:
     folded = (text or "").lower()
-    if not any(map(automaton.matches, set(_WORD.findall(folded)))):
-        return []
     out = []
-    for m in _WORD.finditer(folded):
-        for term, edits in automaton.matches(m[0]):
-            out.append((term, edits, *_context(folded, m.start(), m.end())))
+    if any(map(automaton.matches, set(_WORD.findall(folded)))):
+        for m in _WORD.finditer(folded):
+            for term, edits in automaton.matches(m[0]):
+                out.append((term, edits, *_context(folded, m.start(), m.end())))
+    for start, end, parts in _marked(folded):
+        found = automaton.matches(folded[start:end])
+        if found:
+            # What a part says counts for the part.
+            said = {term for p in parts for term, _ in automaton.matches(p)}
+            out += [(term, edits, *_context(folded, start, end)) for term, edits in found if term not in said]
     return out
 
 
 @dataclass
 class ToxicityModel:
-    """terms; for each, by edits (none, one) and times (1 to LEVELS), the log-odds that a text
-    with so many hits or more is toxic; the regression."""
+    """terms; for each, by edits (none, one, two) and times (1 to LEVELS), the log-odds that a
+    text with so many hits or more is toxic; the regression; look-alikes that are no hits."""
 
     terms: list[str] = field(default_factory=list)
     weights: list[list[list[float]]] = field(default_factory=list)
     coefficients: list[float] = field(default_factory=list)
     intercept: float = 0.0
+    own: frozenset[str] = frozenset()
+
+    def automaton(self) -> LexiconAutomaton:
+        return LexiconAutomaton(self.terms, SPELLING, True, self.own)
 
     def features(self, hits: Iterable[Hit]) -> list[float]:
         """Weights of the distinct terms that were hit: plain, quoted, edited, edited and
         quoted, addressed."""
         times = Counter()
         for term, edits, quoted, addressed in hits:
-            for kind in [2 * edits + quoted] + [4] * (addressed and not quoted):
+            for kind in [2 * (edits > 0) + quoted] + [4] * (addressed and not quoted):
                 times[term, edits, kind] += 1
         sums = [0.0] * len(PRIOR)
         for (term, edits, kind), n in times.items():
@@ -259,9 +319,30 @@ def learn_terms(rows: DataFrame) -> list[str]:
     return kept
 
 
-def _with_hits(rows: DataFrame, terms: list[str]) -> DataFrame:
+def own_words(rows: DataFrame, terms: list[str]) -> frozenset[str]:
+    """Words near a term that do not mark toxic texts: clean texts hold them as often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = LexiconAutomaton(terms, SPELLING, True)
+        counts: Counter = Counter()
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                folded = text.lower()
+                words = set(_WORD.findall(folded)) | {folded[start:end] for start, end, _ in _marked(folded)}
+                counts.update((w, toxic) for w in words if any(e for _, e in automaton.matches(w)))
+        columns = [pa.array([w for w, _ in counts], pa.string()), pa.array([y for _, y in counts], pa.int32()), pa.array(list(counts.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["word", "toxic", "n"])
+
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    near = rows.select("text", "toxic").mapInArrow(run, "word string, toxic int, n long").groupBy("word")
+    near = near.agg(F.sum(F.col("n") * F.col("toxic")).alias("a"), F.sum(F.col("n") * (1 - F.col("toxic"))).alias("b"))
+    # Of TRAIN_ROWS texts at most.
+    return frozenset(r["word"] for r in near.where("b > 0").collect() if r["a"] * sizes.get(0, 0) <= 2 * r["b"] * sizes.get(1, 0))
+
+
+def _with_hits(rows: DataFrame, terms: list[str], own: frozenset[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = LexiconAutomaton(terms)
+        automaton = LexiconAutomaton(terms, SPELLING, True, own)
         for batch in batches:
             found = [[{"t": t, "e": e, "q": q, "a": a} for t, e, q, a in hits_of(automaton, x)] for x in batch.column(0).to_pylist()]
             kind = pa.list_(pa.struct([("t", pa.int32()), ("e", pa.int32()), ("q", pa.bool_()), ("a", pa.bool_())]))
@@ -280,9 +361,10 @@ def train(
     rows = training_rows(docs, labels, id_col, text_col, label_col).groupBy("text").agg(F.max("toxic").alias("toxic"))
     rows = staged(rows)
     terms = learn_terms(rows)
-    found = [(r["toxic"], [tuple(h) for h in r["hits"]]) for r in _with_hits(rows, terms).collect()]
+    own = own_words(rows, terms) if terms else frozenset()
+    found = [(r["toxic"], [tuple(h) for h in r["hits"]]) for r in _with_hits(rows, terms, own).collect()]
     share = sum(y for y, _ in found) / max(1, len(found))
-    model = ToxicityModel(terms, _weights(terms, found))
+    model = ToxicityModel(terms, _weights(terms, found), own=own)
     if not terms or len({y for y, _ in found}) < 2:
         share = min(max(share, 1e-9), 1 - 1e-9)
         return ToxicityModel(intercept=float(np.log(share / (1 - share))))
@@ -294,7 +376,7 @@ def train(
 
 def _weights(terms: list[str], rows: list[tuple[int, list[Hit]]]) -> list[list[list[float]]]:
     """Log-odds by term, edits and times; nothing below 0, and more times never tell less."""
-    counts = np.zeros((len(terms), 2, LEVELS, 2))
+    counts = np.zeros((len(terms), MOST_EDITS + 1, LEVELS, 2))
     for y, hits in rows:
         for (term, edits), n in Counter((t, e) for t, e, _, _ in hits).items():
             counts[term, edits, : min(n, LEVELS), y] += 1
@@ -303,8 +385,9 @@ def _weights(terms: list[str], rows: list[tuple[int, list[Hit]]]) -> list[list[l
     odds[counts.sum(axis=-1) == 0] = 0
     odds = np.maximum.accumulate(np.maximum(odds, 0), axis=2)
     # An edited form that no row shows takes half of its term's weight.
-    unseen = counts[:, 1, 0].sum(axis=1) == 0
-    odds[unseen, 1] = odds[unseen, 0] / 2
+    for edits in range(1, MOST_EDITS + 1):
+        unseen = counts[:, edits, 0].sum(axis=1) == 0
+        odds[unseen, edits] = odds[unseen, 0] / 2
     return odds.tolist()
 
 
@@ -344,7 +427,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     sent = docs.sparkSession.sparkContext.broadcast(model)  # MOST_TERMS terms at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = LexiconAutomaton(sent.value.terms)
+        automaton = sent.value.automaton()
         for batch in batches:
             texts = batch.column(batch.schema.names.index(text_col))
             scores = [sent.value.score(hits_of(automaton, t.as_py())) for t in texts]

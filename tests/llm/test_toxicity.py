@@ -78,3 +78,56 @@ def test_small_odd_and_empty_tables(spark, make_docs, edge_texts):
     odd = spark.createDataFrame([(None, 1), (1, None), (2, 0), (2, 1)], "doc_id long, toxic int")
     assert X.score_toxicity(docs, X.train(docs, odd), score_col="s").count() == docs.count()
     assert X.drop_toxic(make_docs([]), none).collect() == []
+
+
+def swap_distance(a, b):
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        rows.append([i])
+        for j, y in enumerate(b, 1):
+            d = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                d = min(d, rows[i - 2][j - 2] + 1)
+            rows[i].append(d)
+    return rows[-1][-1]
+
+
+def test_edits_grow_with_the_term_and_swaps_are_one():
+    rng = random.Random(5)
+    terms = ["abc", "bcab", "abcab*", "cabbcab", "aabbccab*", "abcabcabc"]
+    model = X.ToxicityModel(terms)
+    automaton = model.automaton()
+    for _ in range(6000):
+        word = "".join(rng.choice("abc") for _ in range(rng.randint(1, 11)))
+        if rng.random() < 0.5:
+            word = list(rng.choice(terms).rstrip("*"))
+            for _ in range(rng.randint(0, 3)):
+                k = rng.randrange(len(word) - 1)
+                word[k], word[k + 1] = word[k + 1], rng.choice([word[k], "a"])
+            word = "".join(word)
+        want = []
+        for k, t in enumerate(terms):
+            stem = t.rstrip("*")
+            d = min(swap_distance(word[:n], stem) for n in (range(len(word) + 1) if t.endswith("*") else [len(word)]))
+            if d <= (len(stem) >= 4) + (len(stem) >= 7):
+                want.append((k, d))
+        assert list(automaton.matches(word)) == want, word
+
+
+def test_misspelled_abuse_is_caught_and_look_alikes_are_not(spark, make_docs, words):
+    terms = ["scum", "stupid", "trash", "idiot", "moron", "pathetic", "worthless"]
+    alike = ["slum", "studio", "crash", "idiom", "baron", "prosthetic", "worth-less"]
+    texts = [f"{words(20, k)} {alike[k % 7]} {words(5, k)} {' '.join(terms[(k + n) % 7] for n in range(3)) if k % 2 else ''}" for k in range(600)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(600)], "doc_id long, toxic int")
+    model = X.train(make_docs(texts), labels)
+    automaton = model.automaton()
+    assert {t.rstrip("*")[:3] for t in model.terms} == {t[:3] for t in terms}
+    bad = ["scvm", "csum", "s*um", "idoit", "stupdi", "st*pid", "tr@sh", "id!ot", "mor_n", "pahtteic", "worthlezz", "w0rthl3ss", "path-tic"]
+    clean = model.score([])
+    for word in bad:
+        assert model.score(X.hits_of(automaton, f"so {word} here")) > clean, word
+    for word in [*alike, "well-known", "is-it", "don't", "a.b.c.d", "-" * 50, "a." * 500_000, "a" * 1_000_000]:
+        assert X.hits_of(automaton, f"so {word} here") == [], word
+    for k in range(len(bad)):
+        assert model.score(X.hits_of(automaton, "you " + " ".join(bad[k:] + bad[:k]))) > 0.5
+    assert model.score(X.hits_of(automaton, "a " + " and ".join(alike))) == clean
