@@ -120,7 +120,7 @@ def pages_of(
         )
     elif table == "supplier":
         keys = dict(k=col("s_suppkey"), n=col("s_name"), a=col("s_nationkey"))
-        out = df.select(
+        entry = F.struct(
             fill("Supplier {k}", **keys).alias("title"),
             F.lit(FIXED_TIME).alias("timestamp"),
             fill(
@@ -129,6 +129,14 @@ def pages_of(
                 **keys,
             ).alias("wikitext"),
         )
+        # Two suppliers share a depot: only the digest tells which of its pages stands.
+        shared = fill("Depot {d}", d=F.expr("s_suppkey div 2"))
+        depot = F.struct(
+            F.when(col("s_suppkey") % 2 == 1, F.concat(F.lit(" "), shared)).otherwise(shared).alias("title"),
+            F.lit(FIXED_TIME).alias("timestamp"),
+            fill("Used by [[Supplier {k}]].", **keys).alias("wikitext"),
+        )
+        out = df.select(F.inline(F.array(entry, depot)))
     elif table == "part":
         keys = dict(k=col("p_partkey"), n=col("p_name"), b=col("p_brand"), t=col("p_type"))
         out = df.select(

@@ -14,11 +14,28 @@ _LOT_TITLE = "'Lot ' || l_orderkey || '/' || l_linenumber"
 _STAMP = "strftime({}, '%Y-%m-%dT%H:%M:%SZ')"
 
 
+def _escaped(text: str) -> str:
+    return f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def _raw(title: str, stamp: str, wikitext: str) -> str:
+    """The page as the dump holds it."""
+    return rf"""(E'<page>\n    <title>' || {_escaped(title)} || E'</title>\n    <ns>0</ns>\n    <revision>\n'
+        || CASE WHEN {stamp} IS NULL THEN '' ELSE '      <timestamp>' || {stamp} || E'</timestamp>\n' END
+        || '      <text xml:space="preserve">' || {_escaped(wikitext)} || E'</text>\n    </revision>\n  </page>')"""
+
+
+_LOT_FULL = rf"CASE WHEN l_linestatus = 'O' THEN E' \t' || {_LOT_TITLE} || E'\n' ELSE {_LOT_TITLE} END"
+# Two suppliers share a depot: pages of one title and time, told apart by their digest only.
+_DEPOT = "'Depot ' || (s_suppkey // 2)"
+_DEPOT_FULL = f"CASE WHEN s_suppkey % 2 = 1 THEN ' ' ELSE '' END || {_DEPOT}"
+_DEPOT_WIKITEXT = "'Used by [[Supplier ' || s_suppkey || ']].'"
+
+
 def _lot_corpus(wikitext: str, text: str) -> str:
     return rf"""
     SELECT 'lineitem.xml' AS file, {_LOT_TITLE} AS name,
-           CASE WHEN l_linestatus = 'O' THEN E' \t' || {_LOT_TITLE} || E'\n'
-                ELSE {_LOT_TITLE} END AS title,
+           {_LOT_FULL} AS title,
            {_STAMP.format('l_shipdate')} AS stamp, l_shipdate::TIMESTAMP AS ts,
            {wikitext} AS wikitext, {text} AS text
     FROM lineitem"""
@@ -62,6 +79,10 @@ corpus AS (
                || ') and [2]  (http://s.example/' || s_suppkey || '/more).'
     FROM supplier
     UNION ALL
+    SELECT 'supplier.xml', {_DEPOT}, {_DEPOT_FULL}, {_FIXED}, {_DEPOT_WIKITEXT},
+           'Used by Supplier ' || s_suppkey || '.'
+    FROM supplier
+    UNION ALL
     SELECT 'part.xml', 'Part ' || p_partkey, 'Part ' || p_partkey, {_FIXED},
            '''''' || p_name || ''''' by [[' || p_brand || ']]<!-- ' || p_type || ' --> [[Category:'
                || p_type || ']]',
@@ -104,6 +125,11 @@ entity_links AS (
            length(s_name) + 4, ''
     FROM supplier
     UNION ALL
+    SELECT {_DEPOT}, {_DEPOT_FULL}, TIMESTAMP '2014-01-02 03:04:05', 'supplier.xml', 1, 'internal',
+           'Supplier ' || s_suppkey, 'Supplier ' || s_suppkey, 8,
+           md5({_raw(_DEPOT_FULL, "'2014-01-02T03:04:05Z'", _DEPOT_WIKITEXT)})
+    FROM supplier
+    UNION ALL
     SELECT 'Part ' || p_partkey, 'Part ' || p_partkey, TIMESTAMP '2014-01-02 03:04:05', 'part.xml',
            1, 'internal', p_brand, p_brand, length(p_name) + 4, ''
     FROM part
@@ -120,7 +146,7 @@ order_links AS (
 ),
 lot_links AS (
     SELECT {_LOT_TITLE} AS name,
-           CASE WHEN l_linestatus = 'O' THEN E' \t' || {_LOT_TITLE} || E'\n' ELSE {_LOT_TITLE} END AS title,
+           {_LOT_FULL} AS title,
            l_shipdate::TIMESTAMP AS ts, 'lineitem.xml' AS file, k.seq AS seq, 'internal' AS kind,
            CASE k.seq WHEN 2 THEN 'Part ' || l_partkey || '#lot' WHEN 3 THEN 'Supplier ' || l_suppkey
                 ELSE 'Order ' || l_orderkey END AS raw_target,
@@ -131,7 +157,7 @@ lot_links AS (
                 WHEN 3 THEN length('Part of Order ' || l_orderkey || E'.\n\n1. Goods\n\nlot from ')
                 ELSE length('Part of Order ' || l_orderkey || E'.\n\n1. Goods\n\nlot from Supplier '
                      || l_suppkey || E'\n\n1.1. Terms\n\nReturned ' || l_returnflag || ' on ') END AS start_at,
-           md5({_LOT_WIKITEXT}) AS digest
+           md5({_raw(_LOT_FULL, _STAMP.format('l_shipdate'), _LOT_WIKITEXT)}) AS digest
     FROM lineitem, (VALUES (1), (2), (3), (4)) k(seq)
 ),
 links AS (
@@ -144,11 +170,11 @@ links AS (
 )"""
 
 # The page that stands for a vertex when several share its title.
-CURRENT = """
+CURRENT = f"""
 current_page AS (
     SELECT * FROM (
         SELECT *, row_number() OVER (PARTITION BY name
-            ORDER BY ts DESC NULLS LAST, md5(wikitext) DESC, title DESC, file DESC) AS rn
+            ORDER BY ts DESC NULLS LAST, md5({_raw('title', 'stamp', 'wikitext')}) DESC, title DESC, file DESC) AS rn
         FROM corpus) WHERE rn = 1
 )"""
 
@@ -169,14 +195,8 @@ titles AS (
 
 _EDGE = f"'{LINK_ID}' || substr(src, {len(ID) + 1}) || '_' || substr(dst, {len(ID) + 1})"
 
-_XML = r"""
-xml AS (
-    SELECT *, E'<page>\n    <title>' || esc_title || E'</title>\n    <ns>0</ns>\n    <revision>\n'
-        || CASE WHEN stamp IS NULL THEN '' ELSE '      <timestamp>' || stamp || E'</timestamp>\n' END
-        || '      <text xml:space="preserve">' || esc_text || E'</text>\n    </revision>\n  </page>' AS raw
-    FROM (SELECT *, replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS esc_title,
-        replace(replace(replace(wikitext, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS esc_text FROM {source})
-)"""
+_XML = f"""
+xml AS (SELECT *, {_raw('title', 'stamp', 'wikitext')} AS raw FROM current_page)"""
 
 
 def _with(*parts: str) -> str:
@@ -295,7 +315,7 @@ def oracle_sql() -> dict[str, str]:
         FROM corpus"""
     q["vertex_properties"] = _with(CORPUS, LINKS, VERTICES, CURRENT, _TITLES, _PROPERTIES) + """
         SELECT vertex_id, name, key, value, metadata FROM properties"""
-    q["vertex_data"] = _with(CORPUS, CURRENT, _XML.replace("{source}", "current_page")) + f"""
+    q["vertex_data"] = _with(CORPUS, CURRENT, _XML) + f"""
         SELECT '{ID}' || name AS vertex_id, text, 'textDescription=Text' AS metadata, md5(raw) AS raw_md5,
                false AS raw_indexed FROM xml"""
     q["stub_titles"] = _with(LINKS) + f"""
