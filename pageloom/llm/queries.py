@@ -10,6 +10,7 @@ from .chat import ORACLE as _CHAT
 from .chat import op10_chat_format
 from .decontamination import ORACLE as _DECONTAMINATION
 from .decontamination import op8_benchmark_matches
+from .differencing import op12_differencing_packing
 from .neardup import ORACLE as _NEARDUP
 from .neardup import op5_jaccard_join
 from .packing import op7_certified_packing
@@ -25,7 +26,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_token_counts, op2_repeat_removal, op3_secret_scan, op4_embedding_links, op5_jaccard_join, op6_minimax_shards, op7_certified_packing, op8_benchmark_matches, op9_toxicity, op10_chat_format)
+    found = (
+        op1_token_counts, op2_repeat_removal, op3_secret_scan, op4_embedding_links, op5_jaccard_join, op6_minimax_shards,
+        op7_certified_packing, op8_benchmark_matches, op9_toxicity, op10_chat_format, op12_differencing_packing,
+    )
     return {f.__name__: f for f in found}
 
 
