@@ -14,16 +14,60 @@ from .arrays import sum_before
 from .entities import decode_entities
 from .strings import xml_escape
 
+_MARKERS = r"<!--|-->|<!\[CDATA\[|\]\]>|<\?|\?>|</?page(?=[\s/>])"
+_CONTENT, _COMMENT, _CDATA, _INSTRUCTION = range(4)
 _SECTION = r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->|<\?.*?\?>"
 _ATTRIBUTES = r"""(?:\s++[^\s=<>/]++\s*+=\s*+(?:"[^"]*+"|'[^']*+'))*+\s*+"""
 _TEXT = rf"(?s)<text{_ATTRIBUTES}>(.*?)</text\s*+>"
 _TAG = r"""</?[^\s<>/]++(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 
+def _marked(raw: Column) -> Column:
+    return F.contains(raw, F.lit("<!")) | F.contains(raw, F.lit("<?"))
+
+
+def is_one_page(raw: Column) -> Column:
+    """Whether a record is one `page` element and nothing else, as far as markers tell; what
+    they enclose is the reader's to check. Most records show it by byte searches."""
+    first_end = F.instr(raw, "</page") == F.length(raw) - 6
+    plain = F.startswith(raw, F.lit("<page>")) & F.endswith(raw, F.lit("</page>")) & first_end
+    framed = F.rlike(raw, F.lit(r"\A\s*+<page[\s>]")) & F.rlike(raw, F.lit(r"</page\s*+>\s*+\z"))
+    return F.when(plain & ~_marked(raw), F.lit(True)).otherwise(framed & _holds_one_page(raw))
+
+
+def _holds_one_page(raw: Column) -> Column:
+    """A state machine over the markers of a record: one `page` opens and one closes outside
+    of comments, CDATA and instructions, and none of those is left open. A marker costs one
+    step, whether or not what it opens is ever closed."""
+
+    def step(acc: Column, marker: Column) -> Column:
+        at = acc["at"]
+        opened = (
+            F.when(marker == "<!--", _COMMENT).when(marker == "<![CDATA[", _CDATA).when(marker == "<?", _INSTRUCTION).otherwise(_CONTENT)
+        )
+        closed = (
+            ((at == _COMMENT) & (marker == "-->")) | ((at == _CDATA) & (marker == "]]>")) | ((at == _INSTRUCTION) & (marker == "?>"))
+        )
+        content = at == _CONTENT
+        return F.struct(
+            F.when(content, opened).when(closed, _CONTENT).otherwise(at).alias("at"),
+            (acc["begun"] + (content & (marker == "<page")).cast("int")).alias("begun"),
+            (acc["ended"] + (content & (marker == "</page")).cast("int")).alias("ended"),
+        )
+
+    start = F.struct(F.lit(_CONTENT).alias("at"), F.lit(0).alias("begun"), F.lit(0).alias("ended"))
+    markers = F.regexp_extract_all(raw, F.lit(_MARKERS), F.lit(0))
+    return F.aggregate(markers, start, step, lambda a: (a["at"] == _CONTENT) & (a["begun"] == 1) & (a["ended"] == 1))
+
+
 def has_sections(raw: Column) -> Column:
     """Whether the text of an element may be more than one plain node."""
+    first = F.instr(raw, "<text")
+    after = F.substr(raw, first + 5)
+    next_tag = F.substr(after, F.instr(after, "<"))
+    plain = (first == 0) | (F.startswith(next_tag, F.lit("</text")) & ~F.contains(next_tag, F.lit("<text")))
     nested = F.rlike(raw, F.lit(rf"<text{_ATTRIBUTES}>[^<]*+<(?!/text)"))
-    return F.contains(raw, F.lit("<!")) | F.contains(raw, F.lit("<?")) | nested
+    return _marked(raw) | F.when(plain, F.lit(False)).otherwise(nested)
 
 
 def without_sections(raw: Column) -> Column:

@@ -217,8 +217,11 @@ def term_mentions(links: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> D
     )
 
 
-def audits(pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFrame:
-    """One row per page that passed, whether or not it has links."""
+def audits(
+    pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per page that passed, whether or not it has links. `carry` names page columns
+    that are wanted besides."""
     return pages.select(
         "vertex_id",
         F.lit(cfg.audit_action).alias("action"),
@@ -226,4 +229,5 @@ def audits(pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFram
         F.lit("").alias("comment"),
         F.lit(cfg.audit_user).alias("user"),
         F.lit(cfg.visibility).alias("visibility"),
+        *carry,
     )

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.arrays import sum_before
+from ..functions.arrays import bound, running, scan, sum_before
 from ..functions.entities import decode_entities
 
 Rule = tuple[str, Callable[[Column], Column]]
@@ -66,7 +66,8 @@ _HIDDEN = (
     r"(?is)<(?:!--.*?-->|(" + "|".join(TAG_EXTENSIONS) + r")(?:\s[^<>]*?)?(?:/>|>.*?</\1\s*>))"
 )
 _BRACES = r"(?:[^{}]++|\{(?!\{)|\}(?!\}))*+"
-_PARAMETER = r"\{\{\{" + _BRACES + r"\}\}\}"
+# Runs of exactly three; what longer runs mean depends on what they enclose.
+_PARAMETER = r"(?<!\{)\{\{\{(?!\{)" + _BRACES + r"\}\}\}(?!\})"
 _TEMPLATE = r"\{\{" + _BRACES + r"\}\}"
 _TABLE_OPEN = r"^[ \t:]*+\{\|"
 _TABLE_CLOSE = r"^[ \t]*+\|\}(?!\})"
@@ -159,21 +160,92 @@ def hide_templates(c: Column) -> Column:
     return _where(_has(c, "{{"), c, F.regexp_replace(c, _TEMPLATE, ""))
 
 
-def hide_deep_templates(c: Column) -> Column:
-    """What nests deeper than the passes before: repeat as often as openers are left,
-    which is enough for any depth; unbalanced braces stay as text."""
-    openers = F.regexp_count(c, F.lit(r"\{\{"))
+# What braces can be: a run that opens, one that closes, or text.
+_BRACE_TOKEN = r"(?:\{\{++|\}\}++|[^{}]++|\{|\})"
+_TOKENS_AT_ONCE = 128
+_NEVER_LOWER = 2**31 - 1
+
+
+def match_braces(c: Column) -> Column:
+    """The text without templates and parameters, nested to any depth, in one pass.
+
+    A run of closing braces ends what the last open braces began, so a count of open braces
+    stands for a stack of them: it rises by a run that opens, falls by one that closes, and
+    what it cannot fall by is left over. A token is enclosed if the count falls below its own
+    somewhere behind it. The count, the least before and the least behind are running sums and
+    minima, taken in blocks of tokens. Braces that match nothing stay.
+    """
+
+    def change(token: Column) -> Column:
+        n = F.length(token)
+        return F.when(F.startswith(token, F.lit("{{")), n).when(F.startswith(token, F.lit("}}")), -n).otherwise(0)
+
+    def block(text: Column) -> Column:
+        def summed(tokens: Column) -> Column:
+            return bound(
+                scan(F.transform(tokens, change), F.lit(0), lambda a, x: a + x),
+                lambda sums: F.struct(
+                    tokens.alias("tokens"), sums.alias("sums"), F.element_at(sums, -1).alias("total"), F.array_min(sums).alias("least")
+                ),
+            )
+
+        return bound(F.regexp_extract_all(text, F.lit(_BRACE_TOKEN), F.lit(0)), summed)
+
+    def joined(blocks: Column) -> Column:
+        starts = F.concat(F.array(F.lit(0)), running(F.transform(blocks, lambda b: b["total"]), F.lit(0), lambda a, x: a + x))
+        return bound(starts, lambda s: bound(F.transform(blocks, lambda b, i: F.get(s, i) + b["least"]), lambda least: texts(blocks, s, least)))
+
+    def texts(blocks: Column, starts: Column, least: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), running(least, F.lit(0), F.least))
+        behind = F.reverse(running(F.reverse(least), F.lit(_NEVER_LOWER), F.least))
+
+        def of(both: Column) -> Column:
+            def text(b: Column, i: Column) -> Column:
+                start = F.get(starts, i)
+                last = F.coalesce(F.get(both["behind"], i + 1), F.lit(_NEVER_LOWER))
+                sums = F.transform(b["sums"], lambda x: x + start)
+                return bound(sums, lambda x: kept(b["tokens"], x, start, F.get(both["before"], i), last))
+
+            return F.array_join(F.transform(blocks, text), "")
+
+        return bound(F.struct(before.alias("before"), behind.alias("behind")), of)
+
+    def kept(tokens: Column, sums: Column, start: Column, least_before: Column, least_behind: Column) -> Column:
+        before = F.concat(F.array(least_before), scan(sums, least_before, F.least))
+        behind = F.concat(F.reverse(scan(F.reverse(sums), least_behind, F.least)), F.array(least_behind))
+
+        def token(t: Column, i: Column, low: Column) -> Column:
+            count, floor, behind = F.get(sums, i), F.get(low["before"], i + 1), F.get(low["behind"], i + 1)
+            unmatched = F.least(behind - F.when(i == 0, start).otherwise(F.get(sums, i - 1)), F.length(t))
+            return (
+                F.when(F.startswith(t, F.lit("{{")), F.repeat(F.lit("{"), F.greatest(unmatched, F.lit(0))))
+                .when(F.startswith(t, F.lit("}}")), F.repeat(F.lit("}"), F.get(low["before"], i) - floor))
+                .when((count > floor) & (behind < count), F.lit(""))
+                .otherwise(t)
+            )
+
+        return bound(
+            F.struct(before.alias("before"), behind.alias("behind")),
+            lambda low: F.array_join(F.transform(tokens, lambda t, i: token(t, i, low)), ""),
+        )
 
-    def once_more(acc: Column, _: Column) -> Column:
-        # Unchanged by the last pass, unchanged by all others.
-        text = F.regexp_replace(F.regexp_replace(acc["text"], _PARAMETER, ""), _TEMPLATE, "")
-        ended = F.struct(acc["text"].alias("text"), F.lit(-1).alias("before"))
-        pass_ = F.struct(text.alias("text"), F.length(acc["text"]).alias("before"))
-        return F.when(F.length(acc["text"]) == acc["before"], ended).when(acc["before"] < 0, acc).otherwise(pass_)
+    chunks = F.regexp_extract_all(c, F.lit(f"{_BRACE_TOKEN}{{1,{_TOKENS_AT_ONCE}}}+"), F.lit(0))
+    return bound(F.transform(chunks, block), joined)
 
-    first = F.struct(c.alias("text"), (F.length(c) + 1).alias("before"))
-    rest = F.aggregate(F.sequence(F.lit(1), openers), first, once_more, lambda acc: acc["text"])
-    return _where(_has(c, "{{") & F.rlike(c, F.lit(_TEMPLATE)), c, rest)
+
+def hide_nested_parameters(c: Column) -> Column:
+    """Where parameters nest, or runs of braces touch: all parameters and templates."""
+    return _where(_has(c, "{{{"), c, match_braces(c))
+
+
+def hide_nested_parameters(c: Column) -> Column:
+    """Where parameters nest, or runs of braces touch: all parameters and templates."""
+    return _where(_has(c, "{{{"), c, match_braces(c))
+
+
+def hide_deep_templates(c: Column) -> Column:
+    """What nests deeper than the passes before; unbalanced braces stay as text."""
+    return _where(_has(c, "{{") & F.rlike(c, F.lit(_TEMPLATE)), c, match_braces(c))
 
 
 def hide_switches(c: Column) -> Column:
@@ -386,8 +458,8 @@ HIDING_RULES: tuple[Rule, ...] = (
     ("noncharacters", drop_noncharacters),
     ("comments_and_extensions", hide_extensions),
     ("parameters", hide_parameters),
+    ("nested_parameters", hide_nested_parameters),
     ("templates", hide_templates),
-    ("outer_parameters", hide_parameters),
     ("outer_templates", hide_templates),
     ("deep_templates", hide_deep_templates),
     ("page_switches", hide_switches),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.ids import vertex_id
 from ..functions.strings import empty_if_null, iso_timestamp
-from ..functions.xmltext import has_sections, own_text, text_bodies, without_sections
+from ..functions.xmltext import has_sections, is_one_page, own_text, text_bodies, without_sections
 from ..schemas import CORRUPT, PAGE_XML
 from .markup import convert_markup, empty_redirect, keep_apart
 
@@ -24,11 +24,12 @@ def parse_pages(raw_pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) ->
     is not one well-formed `page` element keeps only its raw text and the status XML_ERROR.
     """
     xml = F.from_xml("raw", PAGE_XML, {"ignoreSurroundingSpaces": "false"})
-    pages = keep_apart(raw_pages, _page=xml)
-    broken = F.col(f"_page.{CORRUPT}").isNotNull() | ~_one_page(F.col("raw"))
+    raw = F.col("raw")
+    pages = keep_apart(raw_pages, _page=xml, _whole=is_one_page(raw), _mixed=has_sections(raw))
+    broken = F.col(f"_page.{CORRUPT}").isNotNull() | ~F.col("_whole")
     plain = F.array_join(F.col("_page.revision.text._VALUE"), "")
-    bodies = F.transform(text_bodies(without_sections(F.col("raw"))), own_text)
-    text = F.when(broken, F.lit("")).when(has_sections(F.col("raw")), F.array_join(bodies, "")).otherwise(plain)
+    bodies = F.transform(text_bodies(without_sections(raw)), own_text)
+    text = F.when(broken, F.lit("")).when(F.col("_mixed"), F.array_join(bodies, "")).otherwise(plain)
     times = F.filter("_page.revision.timestamp", lambda t: t.isNotNull())
     pages = (
         pages.withColumn("title", F.when(broken, F.lit("")).otherwise(empty_if_null(F.get("_page.title", F.lit(0)))))
@@ -43,15 +44,7 @@ def parse_pages(raw_pages: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) ->
         .when(empty_redirect(F.col("wikitext")), F.lit(C.STATUS_MARKUP))
         .otherwise(F.lit(C.STATUS_OK))
     )
-    return pages.withColumn("status", status).drop("_page")
-
-
-def _one_page(raw: Column) -> Column:
-    """Whether a record is one `page` element and nothing else."""
-    ends = F.regexp_count(raw, F.lit(r"</page\s*+>"))
-    framed = F.rlike(raw, F.lit(r"\A\s*+<page[\s>]")) & F.rlike(raw, F.lit(r"</page\s*+>\s*+\z"))
-    # A marker inside a section is text; such records are left to the reader.
-    return framed & ((ends == 1) | F.contains(raw, F.lit("<!")))
+    return pages.withColumn("status", status).drop("_page", "_whole", "_mixed")
 
 
 def check_links(pages: DataFrame) -> DataFrame:
@@ -77,8 +70,11 @@ def good_pages(pages: DataFrame) -> DataFrame:
     return pages.where(F.col("status") == C.STATUS_OK)
 
 
-def quarantine(pages: DataFrame) -> DataFrame:
-    """Pages that were set aside, with where they came from and why."""
+def quarantine(pages: DataFrame, *carry: str) -> DataFrame:
+    """Pages that were set aside, with where they came from and why.
+
+    `carry` names page columns that are wanted besides.
+    """
     reason = F.create_map(
         F.lit(C.STATUS_XML), F.lit("page is not well-formed XML"),
         F.lit(C.STATUS_MARKUP), F.lit("illegal title or redirect without target"),
@@ -92,6 +88,7 @@ def quarantine(pages: DataFrame) -> DataFrame:
         "status",
         F.element_at(reason, F.col("status")).alias("reason"),
         "raw",
+        *carry,
     )
 
 

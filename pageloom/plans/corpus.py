@@ -253,3 +253,41 @@ def colliding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "wikitext",
         F.lit("customer.xml").alias("file"),
     )
+
+
+def redirect_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A redirect and an article per customer. Redirects lead to the one before, up to 15 of
+    them to a customer; of 64 the last 16 lead in a circle."""
+    k = F.col("c_custkey")
+    ring = fill("Route {k}", k=F.when(k % 64 == 63, k - 15).otherwise(k + 1))
+    back = F.when(k % 16 == 0, fill("Customer {k}", k=k)).otherwise(fill("Route {k}", k=k - 1))
+    route = F.struct(
+        fill("Route {k}", k=k).alias("title"),
+        F.concat(F.lit("#REDIRECT [["), F.when(k % 64 >= 48, ring).otherwise(back), F.lit("]]")).alias("wikitext"),
+    )
+    article = F.struct(
+        fill("Stop {k}", k=k).alias("title"), fill("On [[Route {k}]] in [[Nation {n}]].", k=k, n=F.col("c_nationkey")).alias("wikitext")
+    )
+    return read_table(spark, sf_dir, "customer").select(F.inline(F.array(route, article))).select(
+        "title", F.lit(FIXED_TIME).alias("timestamp"), "wikitext", F.lit("customer.xml").alias("file")
+    )
+
+
+def nested_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lots with templates and parameters as deep as their quantity says, and braces that
+    nothing closes or opens."""
+    lots = spread(read_table(spark, sf_dir, "lineitem"))
+    depth = F.col("l_quantity").cast("int")
+    keys = dict(o=F.col("l_orderkey"), p=F.col("l_partkey"), s=F.col("l_suppkey"))
+    templates = F.concat(F.repeat(F.lit("{{n|k="), depth), fill("[[Hidden {p}]]", **keys), F.repeat(F.lit(" }}"), depth))
+    parameters = F.concat(F.repeat(F.lit("{{{v|"), depth), F.lit("{{t|{x} }}"), F.repeat(F.lit("}}}"), depth))
+    pages = lots.select(
+        fill("Lot {o}/{n}", o=F.col("l_orderkey"), n=F.col("l_linenumber")).alias("title"),
+        F.lit(FIXED_TIME).alias("timestamp"),
+        F.concat(
+            F.lit("Part"), templates, fill(" of [[Order {o}]]", **keys), parameters, F.lit(" }} from {{a"), templates,
+            fill(" [[Supplier {s}]] {1}", **{"1": F.lit("{1}")}, **keys), parameters, F.lit("."),
+        ).alias("wikitext"),
+        F.lit("lineitem.xml").alias("file"),
+    )
+    return pages

@@ -7,6 +7,7 @@ no statement here parses markup, so an error in a pattern cannot hide.
 from __future__ import annotations
 
 from ..config import DEFAULT_CONFIG as CFG
+from .queries import DIGESTED
 
 ID, LINK_ID, KEY = CFG.id_prefix, CFG.link_id_prefix, CFG.multi_value_key
 
@@ -47,6 +48,10 @@ _LOT_WIKITEXT = r"""'Part of [[Order ' || l_orderkey || E']].\n== Goods ==\n* [[
 _LOT_TEXT = r"""'Part of Order ' || l_orderkey || E'.\n\n1. Goods\n\nlot from Supplier ' || l_suppkey
     || E'\n\n1.1. Terms\n\nReturned ' || l_returnflag || ' on Order ' || l_orderkey || '.'"""
 
+_ORDER_WIKITEXT = r"""'By [[Customer ' || o_custkey || E']].\n* priority ' || o_orderpriority
+    || E'\n* [[ Status ' || o_orderstatus || ' ]]'"""
+_ORDER_RAW = _raw("'Order ' || o_orderkey", _STAMP.format("o_orderdate"), _ORDER_WIKITEXT)
+
 _FIXED = "'2014-01-02T03:04:05Z' AS stamp, TIMESTAMP '2014-01-02 03:04:05' AS ts"
 
 CORPUS = rf"""
@@ -91,8 +96,7 @@ corpus AS (
     UNION ALL
     SELECT 'orders.xml', 'Order ' || o_orderkey, 'Order ' || o_orderkey,
            {_STAMP.format('o_orderdate')}, o_orderdate::TIMESTAMP,
-           'By [[Customer ' || o_custkey || E']].\n* priority ' || o_orderpriority
-               || E'\n* [[ Status ' || o_orderstatus || ' ]]',
+           {_ORDER_WIKITEXT},
            'By Customer ' || o_custkey || E'.\n\npriority ' || o_orderpriority
                || E'\n Status ' || o_orderstatus || ' '
     FROM orders
@@ -203,6 +207,27 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
 
+def _deep(text: str, *more: str) -> str:
+    return f"""SELECT '{ID}' || {_LOT_TITLE} AS vertex_id, {', '.join([text + ' AS text', *more])} FROM lineitem"""
+
+
+# Redirects as links of a list, followed one by one.
+_ROUTES = f"""
+RECURSIVE routes AS (
+    SELECT '{ID}Route ' || c_custkey AS src, '{ID}' || CASE
+        WHEN c_custkey % 64 = 63 THEN 'Route ' || (c_custkey - 15)
+        WHEN c_custkey % 64 >= 48 THEN 'Route ' || (c_custkey + 1)
+        WHEN c_custkey % 16 = 0 THEN 'Customer ' || c_custkey
+        ELSE 'Route ' || (c_custkey - 1) END AS dst
+    FROM customer
+),
+walk AS (
+    SELECT src, dst AS at, 1::BIGINT AS hops FROM routes
+    UNION ALL
+    SELECT w.src, r.dst, w.hops + 1 FROM walk w JOIN routes r ON w.at = r.src WHERE w.hops < 20
+)"""
+
+
 def _lots(text: str) -> str:
     return f"""SELECT '{ID}' || {_LOT_TITLE} AS vertex_id, {text} AS text FROM lineitem"""
 
@@ -341,14 +366,58 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT 'audits', count(*) FROM corpus
         UNION ALL SELECT 'term_mentions', count(*) FROM (
             SELECT DISTINCT src, start_at, length(surface) FROM links)"""
-    q["import_tables"] = _with(CORPUS, LINKS, VERTICES, CURRENT, _TITLES, _PROPERTIES) + """
-        SELECT 'vertices' AS table_name, count(*) AS n_rows FROM vertices
-        UNION ALL SELECT 'edges', count(*) FROM (SELECT DISTINCT src, dst FROM links)
-        UNION ALL SELECT 'audits', count(*) FROM corpus
-        UNION ALL SELECT 'vertex_properties', count(*) FROM properties
-        UNION ALL SELECT 'vertex_data', 2 * count(*) FROM current_page
-        UNION ALL SELECT 'term_mentions', count(*) FROM (
-            SELECT DISTINCT src, start_at, length(surface) FROM links)"""
+    def digests(**changed: str) -> str:
+        """As `table_digests`: a query per table with the columns of `DIGESTED`."""
+        data = f"({q['vertex_data']})"
+        tables = {
+            "vertices": q["vertices"],
+            "vertex_properties": f"SELECT * FROM ({q['vertex_properties']}) WHERE name <> 'FILE_NAME'",
+            "vertex_data": f"""SELECT vertex_id, 'RAW' AS name, raw_md5 AS value, false AS indexed FROM {data}
+                UNION ALL SELECT vertex_id, 'TEXT', text, true FROM {data}""",
+            "edges": q["edges"],
+            "term_mentions": q["term_mentions"],
+            "audits": q["audits"],
+        } | changed
+        parts = []
+        for name, rows in tables.items():
+            values = ", ".join(f"coalesce({c}::VARCHAR, '∅')" for c in DIGESTED[name])
+            parts.append(
+                f"""SELECT '{name}' AS table_name, count(*) AS n_rows,
+                    coalesce(sum(('0x' || substr(md5(concat_ws(chr(31), {values})), 1, 8))::BIGINT), 0)::VARCHAR AS digest FROM ({rows})"""
+            )
+        return " UNION ALL ".join(parts)
+
+    q["import_tables"] = digests()
+    # A page that is sent again as it was is audited once.
+    once = f"""{_with(CORPUS)} SELECT DISTINCT '{ID}' || name AS vertex_id, md5({_raw('title', 'stamp', 'wikitext')}) AS digest FROM corpus"""
+    q["stream_tables"] = digests(
+        audits=f"""SELECT vertex_id, '{CFG.audit_action}' AS action, '{CFG.audit_process}' AS process, '' AS comment,
+            '{CFG.audit_user}' AS user, '' AS visibility FROM ({once})"""
+    )
+    q["stream_counters"] = _with(_FAULTS) + """
+        SELECT CASE file WHEN 'orders.xml' THEN 0 ELSE 1 END::BIGINT AS batch, count(*) FILTER (status = 'OK') AS pages_processed,
+               count(*) FILTER (status = 'XML_ERROR') AS xml_parse_errors,
+               count(*) FILTER (status = 'MARKUP_ERROR') AS wiki_text_parse_errors, 0::BIGINT AS other_errors
+        FROM faults GROUP BY file"""
+    q["quarantine_positions"] = f"""
+        SELECT title, bucket, 'XML_ERROR' AS status, byte_offset FROM (
+            SELECT title, bucket, o_orderstatus, coalesce(sum(strlen(raw) + 1) OVER (PARTITION BY bucket ORDER BY o_orderkey
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS byte_offset
+            FROM (SELECT o_orderkey, o_orderstatus, 'Order ' || o_orderkey AS title, (o_orderkey // 4096)::BIGINT AS bucket,
+                    CASE o_orderstatus WHEN 'P' THEN replace({_ORDER_RAW}, 'By ', 'By R&D ') ELSE {_ORDER_RAW} END AS raw FROM orders))
+        WHERE o_orderstatus = 'P'"""
+    q["deep_templates"] = _deep(
+        """'Part of Order ' || l_orderkey || ' }} from {{a Supplier ' || l_suppkey || ' {1}.'""", "2::BIGINT AS residue"
+    )
+    q["redirect_targets"] = _with(_ROUTES) + f"""
+        SELECT r.src, w.at AS final_dst, w.hops, w.at IS NULL AS in_cycle
+        FROM routes r LEFT JOIN (SELECT * FROM walk WHERE at NOT IN (SELECT src FROM routes)) w USING (src)"""
+    q["links_through_redirects"] = _with(_ROUTES) + f"""
+        SELECT '{ID}Stop ' || c_custkey AS src, 1::BIGINT AS seq, '{ID}Route ' || c_custkey AS dst,
+               coalesce(w.at, '{ID}Route ' || c_custkey) AS final_dst
+        FROM customer LEFT JOIN (SELECT * FROM walk WHERE at NOT IN (SELECT src FROM routes)) w ON w.src = '{ID}Route ' || c_custkey
+        UNION ALL
+        SELECT '{ID}Stop ' || c_custkey, 2, '{ID}Nation ' || c_nationkey, '{ID}Nation ' || c_nationkey FROM customer"""
     q["resolved_hot_links"] = q["resolved_links"]
     q["import_files"] = q["import_tables"]
     q["dump_files"] = f"SELECT vertex_id, title, wikitext, published, source_url, status FROM ({q['pages_fields']})"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,10 @@ from ..sources.stage import stage, work_dir
 from ..operators.html import html_pages
 from ..operators.joins import check_edge_types, resolve_links, stubs_only
 from ..operators.parse import build_pages, good_pages, import_counters, parse_pages, quarantine
-from ..sources.dump import page_line, read_dump, read_page_lines, write_page_lines
+from ..operators.redirects import follow_redirects, redirects_of, through_redirects
+from ..sources.dump import PAGE_CLOSE, page_line, read_dump, read_page_lines, write_page_lines
 from ..sources.ontology import check_ontology, default_ontology
-from ..streaming.incremental import read_merged, stream_pages
+from ..streaming.incremental import batch_counters, compact, read_merged, stream_import, stream_pages
 from . import corpus as K
 from .importer import import_pages, read_tables, run_import, superseded_pages
 
@@ -128,6 +130,12 @@ def _text_of(style: str) -> Query:
     return run
 
 
+@query
+def deep_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = good_pages(build_pages(K.page_xml(K.nested_lots(spark, sf_dir))))
+    return pages.select("vertex_id", "text", F.col("residue").cast("long").alias("residue"))
+
+
 # --- links and graph -------------------------------------------------------------
 
 
@@ -259,6 +267,26 @@ def best_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.best_title(title_candidates(spark, sf_dir))
 
 
+@query
+def redirect_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every redirect leads: chains, ends without a page, and circles."""
+    pages = _redirect_pages(spark, sf_dir)
+    return follow_redirects(redirects_of(M.current_pages(pages))).withColumnRenamed("target", "final_dst")
+
+
+@query
+def links_through_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the links of articles lead in the end."""
+    pages = _redirect_pages(spark, sf_dir)
+    links = G.all_links(pages).where(F.col("kind") == C.KIND_LINK).select("src", F.col("seq").cast("long").alias("seq"), "dst")
+    return through_redirects(links, follow_redirects(redirects_of(M.current_pages(pages))))
+
+
+def _redirect_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = build_pages(K.page_xml(K.redirect_corpus(spark, sf_dir))).drop("raw", "wikitext", "text")
+    return good_pages(stage(pages, C.PAGES))
+
+
 # --- keys and layout -------------------------------------------------------------
 
 
@@ -326,13 +354,41 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the whole import ------------------------------------------------------------
 
 
+# Columns of each table that its digest covers.
+DIGESTED = {
+    C.VERTICES: ("vertex_id", "concept_type", "is_stub"),
+    C.PROPERTIES: ("vertex_id", "name", "key", "value", "metadata"),
+    C.DATA: ("vertex_id", "name", "value", "indexed"),
+    C.EDGES: ("edge_id", "src", "dst", "label"),
+    C.MENTIONS: ("src_vertex_id", "start_offset", "end_offset", "sign", "dst_vertex_id", "edge_id", "concept_iri", "ontology_class"),
+    C.AUDITS: ("vertex_id", "action", "process", "comment", "user", "visibility"),
+}
+
+
+def table_digests(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, n_rows and a digest that does not depend on the order of rows. File names
+    are left out: they are those of whatever files a run read."""
+
+    def digest(name: str) -> DataFrame:
+        df = tables[name]
+        if name == C.PROPERTIES:
+            df = df.where(F.col("name") != C.FILE_NAME).withColumn("metadata", _flat("metadata"))
+        if name == C.DATA:
+            df = df.withColumn("value", F.coalesce("value", F.md5("value_bin")))
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("∅")) for c in DIGESTED[name]]
+        row = F.conv(F.substring(F.md5(F.concat_ws("\x1f", *values)), 1, 8), 16, 10).cast("decimal(38,0)")
+        total = F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("digest")
+        return df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), total)
+
+    return reduce(DataFrame.unionByName, [digest(name) for name in DIGESTED])
+
+
 @query
 def import_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the import over all pages and report the rows of each table it wrote."""
+    """Run the import over all pages and digest each table it wrote."""
     out = work_dir(spark)
     import_pages(K.raw_corpus(spark, sf_dir), out)
-    tables = {n: df for n, df in read_tables(spark, out).items() if n in L.ROW_KEYS}
-    return L.rows_per_table(L.union_outputs(tables))
+    return table_digests(read_tables(spark, out))
 
 
 # --- files -----------------------------------------------------------------------
@@ -371,8 +427,25 @@ def import_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The import of dump files, as a user runs it."""
     out = work_dir(spark)
     run_import(spark, _dump_files(spark, sf_dir), out)
-    tables = {n: df for n, df in read_tables(spark, out).items() if n in L.ROW_KEYS}
-    return L.rows_per_table(L.union_outputs(tables))
+    return table_digests(read_tables(spark, out))
+
+
+@query
+def quarantine_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged pages of several files, plain and compressed, with the byte where each begins."""
+    folder = work_dir(spark)
+    key = F.regexp_extract("raw", r"<title>Order (\d+)", 1).cast("long")
+    pages = K.faulty_corpus(spark, sf_dir).where("file = 'orders.xml'").select("raw", key.alias("key"))
+    pages = pages.withColumn("bucket", F.expr("key div 4096"))
+    for n, (name, codec) in enumerate((("plain", "none"), ("packed", "bzip2"))):
+        # A file per bucket, its pages in the order of their keys.
+        own = pages.where(F.col("bucket") % 2 == n).repartition("bucket").sortWithinPartitions("bucket", "key")
+        own.select("raw", "bucket").write.partitionBy("bucket").option("compression", codec).text(f"{folder}/{name}")
+    elsewhere = {name: lambda df: None for name in L.ROW_KEYS}
+    run_import(spark, f"{folder}/p*/*/part-*", f"{folder}/out", sinks=elsewhere)
+    title = F.regexp_extract("raw", "<title>([^<]*)</title>", 1).alias("title")
+    bucket = F.regexp_extract("file_path", r"bucket=(\d+)", 1).cast("long").alias("bucket")
+    return spark.read.parquet(f"{folder}/out/{C.QUARANTINE}").select(title, bucket, "status", "byte_offset")
 
 
 # --- streaming -------------------------------------------------------------------
@@ -390,6 +463,31 @@ def stream_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_merged(spark, f"{out}/tables")[C.EDGES].select("edge_id", "src", "dst")
 
 
+@query
+def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dump files that arrive in batches, compacted in between, merged when they are read."""
+    folder = work_dir(spark)
+    K.raw_corpus(spark, sf_dir).select("raw").repartition(6).write.text(f"{folder}/in")
+    arrive = partial(stream_import, spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", files_per_batch=3)
+    arrive().awaitTermination()
+    compact(spark, f"{folder}/out", everything=True)
+    # A file comes again under another name.
+    spark.read.text(f"{folder}/in/part-00000*", lineSep=PAGE_CLOSE).write.option("lineSep", PAGE_CLOSE).mode("append").text(f"{folder}/in")
+    arrive().awaitTermination()
+    return table_digests(read_merged(spark, f"{folder}/out"))
+
+
+@query
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders arrive, then parts; the store keeps the counters of both batches."""
+    folder = work_dir(spark)
+    pages = K.faulty_corpus(spark, sf_dir)
+    for name in ("orders.xml", "part.xml"):
+        pages.where(F.col("file") == name).select("raw").write.mode("append").text(f"{folder}/in")
+        stream_import(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return batch_counters(spark, f"{folder}/out")
+
+
 for _name, _style in (
     ("hidden_markup", "noise"),
     ("tables_text", "table"),

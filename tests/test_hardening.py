@@ -31,6 +31,8 @@ def page(text, title="<title>x</title>"):
         ("a<![CDATA[<b> & ]]x]]>c", "a<b> & ]]xc"),
         ("<![CDATA[<!-- kept -->]]><!-- <![CDATA[ gone ]]> -->", "<!-- kept -->"),
         ("a<?p i?>b", "ab"),
+        ("a<!-- <page> </page> -->b<![CDATA[</page>]]>c<?p </page>?>", "ab</page>c"),
+        ("a<!-- <?x --><![CDATA[-->]]>b<?p <!-- ]]>?>c", "a-->bc"),
         ("&lt;ref&gt; &amp;nbsp; &#65;", "<ref> &nbsp; A"),
         ("", ""),
     ],
@@ -44,7 +46,12 @@ def test_first_title_and_all_revisions(spark):
     assert parsed(spark, two) == [("a", "xyz", C.STATUS_OK)]
 
 
-@pytest.mark.parametrize("raw", ["<foo><title>x</title></foo>", page("a") + page("b"), "<page><title>x</title>", page("a") + "tail", "", "text"])
+@pytest.mark.parametrize(
+    "raw",
+    ["<foo><title>x</title></foo>", page("a") + page("b"), "<page><title>x</title>", page("a") + "tail", "", "text",
+     page("one<!-- c -->") + page("two"), page("one") + page("<![CDATA[two]]>"), page("a") + "<!-- " + page("b") + " -->",
+     page("<?p ?>" + page("a")), page("<!-- </page>") + "</page>"],
+)
 def test_what_is_not_one_page_is_an_error(spark, raw):
     assert [s for _, _, s in parsed(spark, raw)] == [C.STATUS_XML]
 
