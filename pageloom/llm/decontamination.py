@@ -4,7 +4,8 @@ The training texts are taken in shards (chunks of a partition). A shard's suffix
 the word suffixes that can match at all: those inside runs of benchmark words, which are
 few; they are sorted by prefix doubling. Every test suffix is then searched in it by binary
 search, word by word: the suffixes that share its window are one stretch of the array, whose
-entries are the locations, and searching on gives the longest verbatim match.
+entries are the locations. For those, a binary search among the sorted test suffixes gives
+the longest verbatim match.
 
 The benchmark is a stated query set. Its size is measured first; it is sent to the executors
 in blocks of at most BLOCK_BYTES, and one more pass is made over the rows for every further
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, python_ready, table
-from .words import Words, chunks, prefix_hashes, stretch_hashes, words_of
+from .common import free_name, python_ready, staged, table
+from .words import _POWERS, Words, chunks, mixed, prefix_hashes, stretch_hashes, words_of
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -35,29 +36,73 @@ MATCH = "struct<n_words:long,longest:int,runs:array<struct<start:int,end:int>>,i
 
 @dataclass
 class TestSuffixes:
-    """The distinct windows of a block of items, each with the items it stands in and, for
-    the longest match, the words of the longest test suffix that begins with it."""
+    """The distinct windows of a block of items with the items they stand in, and the sorted
+    suffixes of all items. An item is one stretch of `ids`, behind which a 0 stands; a suffix
+    is the place where it starts, so memory grows with the items and no faster."""
 
     words: list[bytes]  # sorted; a word's number is its place, from 1
-    windows: list[tuple[int, ...]]
-    suffixes: list[list[tuple[int, ...]]]
-    items: list[list[int]]
+    ids: np.ndarray
+    windows: np.ndarray  # one row each, filled up with 0
+    lengths: np.ndarray
+    first_text: np.ndarray  # where a window's part of `texts` begins
+    texts: np.ndarray
+    items: list[list[int]]  # of each text
+    sorted: np.ndarray
+    ends: np.ndarray  # of the item, for each place
 
     @classmethod
     def of(cls, rows: list[tuple[int, str | None]], window: int) -> TestSuffixes:
-        texts = [(i, _WORD.findall(_lower(t))) for i, t in rows if i is not None and t]
-        words = sorted({w for _, ws in texts for w in ws})
+        texts: dict[tuple[bytes, ...], set[int]] = {}
+        for item, text in rows:
+            own = tuple(_WORD.findall(_lower(text))) if item is not None and text else ()
+            if own:
+                texts.setdefault(own, set()).add(item)
+        words = sorted(set(chain.from_iterable(texts)))
         number = {w: k for k, w in enumerate(words, 1)}
-        found: dict[tuple[int, ...], tuple[set, set]] = {}
-        for item, own in texts:
-            ids = tuple(number[w] for w in own)
-            length = min(window, len(ids))
-            for at in range(len(ids) - length + 1 if ids else 0):
-                suffixes, items = found.setdefault(ids[at : at + length], (set(), set()))
-                suffixes.add(ids[at:])
-                items.add(item)
-        keys = sorted(found)
-        return cls(words, keys, [sorted(found[k][0]) for k in keys], [sorted(found[k][1]) for k in keys])
+        sizes = np.array([len(own) for own in texts], dtype=np.int64)
+        ids = np.fromiter((n for own in texts for n in (*map(number.__getitem__, own), 0)), dtype=np.int64, count=int((sizes + 1).sum()))
+        text = np.repeat(np.arange(len(sizes)), sizes + 1)
+        ends = np.repeat(np.cumsum(sizes + 1) - 1, sizes + 1)
+        order = _sorted_suffixes(ids)
+        # Windows in the order of their suffixes: equal ones are neighbours. An item of fewer
+        # words is one window.
+        length = np.minimum(sizes, window)[text]
+        start = order[order + length[order] <= ends[order]]
+        same = length[start[1:]] == length[start[:-1]]
+        for k in range(window):
+            a, b = start[1:] + k, start[:-1] + k
+            behind = k >= length[start[1:]]
+            same &= behind | (ids[np.minimum(a, len(ids) - 1)] == ids[np.minimum(b, len(ids) - 1)])
+        group = np.concatenate([[0], np.cumsum(~same)])[: len(start)]
+        first = start[np.flatnonzero(np.concatenate([[True], ~same])[: len(start)])]
+        windows = np.zeros((len(first), window), dtype=np.int32)
+        for k in range(window):
+            inside = k < length[first]
+            windows[inside, k] = ids[first[inside] + k]
+        pairs = np.unique(group * len(sizes) + text[start])
+        first_text = np.searchsorted(pairs, np.arange(len(first) + 1) * len(sizes))
+        return cls(words, ids, windows, length[first], first_text, pairs % max(len(sizes), 1), [sorted(i) for i in texts.values()], order, ends)
+
+    def items_of(self, window: int) -> set[int]:
+        return {i for t in self.texts[self.first_text[window] : self.first_text[window + 1]].tolist() for i in self.items[t]}
+
+
+def _sorted_suffixes(ids: np.ndarray) -> np.ndarray:
+    """Places of `ids` but zeros, in the order of what follows each up to the next zero."""
+    rank, step = np.unique(ids, return_inverse=True)[1].reshape(-1).astype(np.int64) if len(ids) else ids, 1
+    open_ = ids > 0
+    while step < len(ids):
+        later = np.zeros(len(rank), dtype=np.int64)
+        later[:-step] = np.where(open_[:-step], rank[step:] + 1, 0)
+        new = np.unique(rank * (later.max() + 1) + later, return_inverse=True)[1].reshape(-1)
+        # Behind a zero nothing counts.
+        open_[:-step] &= open_[step:]
+        open_[-step:] = False
+        rank, step = new, 2 * step
+        if not open_.any() or len(rank) == rank.max() + 1:
+            break
+    order = np.argsort(rank, kind="stable")
+    return order[ids[order] > 0]
 
 
 def _lower(text: str) -> bytes:
@@ -67,12 +112,9 @@ def _lower(text: str) -> bytes:
 class Searcher:
     def __init__(self, tests: TestSuffixes):
         self.tests = tests
-        self.lengths = np.array([len(w) for w in tests.windows], dtype=np.int64)
-        depth = int(self.lengths.max(initial=0))
-        self.padded = np.zeros((len(tests.windows), depth), dtype=np.int64)
-        for row, w in zip(self.padded, tests.windows, strict=True):
-            row[: len(w)] = w
-        self.depth = max((len(s) for group in tests.suffixes for s in group), default=0)
+        self.lengths, self.padded = tests.lengths, tests.windows
+        self.depth = int(self.lengths.max(initial=0))
+        self.prefix = _prefix(tests.ids)
         joined = np.frombuffer(b"".join(tests.words), dtype=np.uint8)
         ends = np.cumsum([len(w) for w in tests.words], dtype=np.int64)
         hashes = stretch_hashes(prefix_hashes(joined), ends - [len(w) for w in tests.words], ends) if len(ends) else np.zeros(0, np.uint64)
@@ -132,30 +174,54 @@ class Searcher:
         counts = hi[found] - lo[found]
         window = np.repeat(found, counts)
         at = np.repeat(lo[found] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(len(window)) if len(found) else window
-        reach = self._reach(array, found, lo, hi)
-        return (window, array.places[at], reach[at]) if len(window) else (window, window, window)
-
-    def _reach(self, array: SuffixArray, found: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """For each entry of the suffix array, its longest match with a test suffix."""
-        pairs = [(w, suffix) for w in found.tolist() for suffix in self.tests.suffixes[w]]
-        window = np.array([w for w, _ in pairs], dtype=np.int64)
-        a, b = lo[window], hi[window]
-        size = np.array([len(s) for _, s in pairs], dtype=np.int64)
-        reach = np.zeros(len(array.places), dtype=np.int64)
-        alive = np.arange(len(pairs))
-        for d in range(int(self.lengths.min(initial=0)), int(size.max(initial=0)) + 1):
-            # Pairs whose window ends here, or that have matched up to here.
-            covered = np.zeros(len(reach) + 1, dtype=np.int64)
-            here = alive[self.lengths[window[alive]] <= d]
-            np.add.at(covered, a[here], 1)
-            np.add.at(covered, b[here], -1)
-            reach[np.cumsum(covered[:-1]) > 0] = d
-            alive = alive[size[alive] > d]
-            longer = alive[self.lengths[window[alive]] <= d]
-            word = np.array([pairs[k][1][d] for k in longer.tolist()], dtype=np.int64)
-            a[longer], b[longer] = array.narrowed(a[longer], b[longer], d, word)
-            alive = alive[a[alive] < b[alive]]
-        return reach
+        if not len(window):
+            return window, window, window
+        place, which = np.unique(array.places[at], return_inverse=True)
+        return window, array.places[at], self._longest(ids, array.end, place)[which.reshape(-1)]
+
+    def _longest(self, ids: np.ndarray, end: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """For each place the longest match with any test suffix: that of one of the two test
+        suffixes between which its own suffix sorts. Two suffixes are compared by the length
+        that they have in common, which binary search finds over prefix hashes."""
+        tests, prefix = self.tests, _prefix(ids)
+        room = end[place] - place
+
+        def common(which: np.ndarray, start: np.ndarray) -> np.ndarray:
+            lo, hi = np.zeros(len(which), dtype=np.int64), np.minimum(room[which], tests.ends[start] - start)
+            p = place[which]
+            while len(open_ := np.flatnonzero(lo < hi)):
+                mid = (lo[open_] + hi[open_] + 1) // 2
+                equal = _stretch(prefix, p[open_], mid) == _stretch(self.prefix, start[open_], mid)
+                lo[open_[equal]] = mid[equal]
+                hi[open_[~equal]] = mid[~equal] - 1
+            return lo
+
+        lo, hi = np.zeros(len(place), dtype=np.int64), np.full(len(place), len(tests.sorted), dtype=np.int64)
+        best = np.zeros(len(place), dtype=np.int64)
+        while len(open_ := np.flatnonzero(lo < hi)):
+            mid = (lo[open_] + hi[open_]) // 2
+            start = tests.sorted[mid]
+            n = common(open_, start)
+            best[open_] = np.maximum(best[open_], n)
+            # Where one of them has ended, 0 stands for its next word.
+            own = np.where(n < room[open_], ids[np.minimum(place[open_] + n, len(ids) - 1)], 0)
+            less = tests.ids[start + n] < own
+            lo[open_[less]] = mid[less] + 1
+            hi[open_[~less]] = mid[~less]
+        # The search has met both neighbours of the place it ends at.
+        return best
+
+
+def _prefix(ids: np.ndarray) -> np.ndarray:
+    """Hashes of all prefixes; spread numbers, since words are numbered from 1 on."""
+    _POWERS.reach(len(ids) + 1)
+    out = np.zeros(len(ids) + 1, dtype=np.uint64)
+    np.cumsum(mixed(ids.astype(np.uint64) + np.uint64(1)) * _POWERS.up[: len(ids)], out=out[1:])
+    return out
+
+
+def _stretch(prefix: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return (prefix[start + n] - prefix[start]) * _POWERS.down[start]
 
 
 class SuffixArray:
@@ -229,7 +295,7 @@ def _matched(searcher: Searcher, batch: pa.RecordBatch, text_col: str, match_col
         pairs = np.unique(document * max(1, len(searcher.lengths)) + window)
         for p in pairs.tolist():
             doc, w = divmod(p, len(searcher.lengths))
-            items.setdefault(doc, set()).update(searcher.tests.items[w])
+            items.setdefault(doc, set()).update(searcher.tests.items_of(w))
         for k in range(chunk.n):
             was = old[chunk.first + k] if old else None
             if k not in items:
@@ -291,13 +357,19 @@ def match_benchmark(
     out = docs
     schema = T.StructType([*docs.schema.fields, T.StructField(match_col, T.DataType.fromDDL(MATCH))])
     blocks = benchmark_blocks(benchmark, item_id, item_text, block_bytes)
-    for rows in chain([next(blocks, [])], blocks):
-        out = _pass(spark, out, rows, text_col, match_col, window, schema)
+    rows = next(blocks, [])
+    while rows is not None:
+        tests = spark.sparkContext.broadcast(TestSuffixes.of(rows, window))
+        out = _pass(out, tests, text_col, match_col, schema)
+        rows = next(blocks, None)
+        if rows is not None:
+            # Written between blocks, so that one block at a time is in memory.
+            out = staged(out)
+            tests.destroy()
     return out
 
 
-def _pass(spark: SparkSession, docs: DataFrame, rows: list, text_col: str, match_col: str, window: int, schema: T.StructType) -> DataFrame:
-    tests = spark.sparkContext.broadcast(TestSuffixes.of(rows, window))
+def _pass(docs: DataFrame, tests, text_col: str, match_col: str, schema: T.StructType) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = Searcher(tests.value)

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.arrays import sum_before
+from ..functions.arrays import bound, running, sum_before
 from .common import free_name, table
 from .trigrams import evaluate, grams_of, trigram_query
 
@@ -141,27 +141,60 @@ def spans_text(spans: Column) -> Column:
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = MASKED_RULES, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
     """`docs` with each run of overlapping spans in the text replaced by `mask`. Texts without
     spans, null ones included, stay as they are."""
-    spans, cuts = free_name(docs, "_spans"), free_name(docs, "_cuts")
+    spans, runs = free_name(docs, "_spans"), free_name(docs, "_runs")
     found = find_secrets(docs, rules, text_col, spans)
-    # Ends of the runs so far; a span that starts inside the last run prolongs it.
-    first = F.array().cast("array<struct<start:int,end:int>>")
-
-    def step(runs: Column, s: Column) -> Column:
-        last = F.element_at(runs, -1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        fresh = F.struct(s["start"].alias("start"), s["end"].alias("end"))
-        inside = (F.size(runs) > 0) & (s["start"] <= F.try_element_at(runs, F.lit(-1))["end"])
-        return F.when(
-            inside, F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(longer))
-        ).otherwise(F.concat(runs, F.array(fresh)))
-
-    found = found.withColumn(cuts, F.aggregate(spans, first, step))
+    found = found.withColumn(runs, _runs_of(F.col(spans)))
     text = F.col(text_col)
-    ends = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda r: r["end"]))
-    starts = F.concat(F.transform(cuts, lambda r: r["start"]), F.array(F.length(text)))
-    kept = F.zip_with(ends, starts, lambda a, b: F.substring(text, a + 1, b - a))
-    masked = F.array_join(kept, mask)
-    return found.withColumn(text_col, F.when(F.size(cuts) > 0, masked).otherwise(text)).select(*docs.columns)
+    masked = F.when(F.size(runs) > 0, _masked(text, F.col(runs), mask)).otherwise(text)
+    return found.withColumn(text_col, masked).select(*docs.columns)
+
+
+def _runs_of(spans: Column) -> Column:
+    """Overlapping and touching spans (by start) as one: array<struct<start, end>>."""
+
+    # What the spans before each reach to.
+    reached = F.concat(F.array(F.lit(-1)), running(F.transform(spans, lambda s: s["end"]), F.lit(-1), F.greatest))
+    marked = bound(reached, lambda r: F.transform(spans, lambda s, i: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.get(r, i).alias("reach"))))
+
+    def runs(all_: Column) -> Column:
+        first = F.filter(all_, lambda s: s["start"] > s["reach"])
+        # A run ends where everything before the next one reaches to.
+        last = F.array_max(F.transform(all_, lambda s: s["end"]))
+        return bound(first, lambda own: F.transform(own, lambda s, i: F.struct(s["start"].alias("start"), F.coalesce(F.get(own, i + 1)["reach"], last).alias("end"))))
+
+    return F.when(F.size(spans) > 0, bound(marked, runs)).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+
+
+# Texts are cut in blocks of so many characters, so that a piece is found without going
+# through the text from its start.
+_BLOCK_CHARS = 2048
+
+
+def _masked(text: Column, runs: Column, mask: str) -> Column:
+    """`text` with each of the disjoint `runs` (by start) replaced. The text is cut where a
+    block or a run begins or ends; a piece lies in one block and stays if no run is open."""
+
+    def cut(at: Column, opens: int) -> Column:
+        return F.struct(at.cast("int").alias("at"), F.lit(opens).alias("opens"))
+
+    def of_blocks(blocks: Column) -> Column:
+        begins = F.transform(blocks, lambda _, i: cut(i * _BLOCK_CHARS, 0))
+        edges = F.flatten(F.transform(runs, lambda r: F.array(cut(r["start"], 1), cut(r["end"], -1))))
+        return bound(F.array_sort(F.concat(begins, edges)), lambda cuts: of_cuts(blocks, cuts))
+
+    def of_cuts(blocks: Column, cuts: Column) -> Column:
+        return bound(sum_before(cuts, lambda c: c["opens"]), lambda open_: F.array_join(F.transform(cuts, piece(blocks, cuts, open_)), ""))
+
+    def piece(blocks: Column, cuts: Column, open_: Column):
+        def of(c: Column, i: Column) -> Column:
+            to = F.coalesce(F.get(cuts, i + 1)["at"], c["at"] + _BLOCK_CHARS)
+            block = F.get(blocks, F.floor(c["at"] / _BLOCK_CHARS).cast("int"))
+            kept = F.coalesce(F.substr(block, c["at"] % _BLOCK_CHARS + 1, to - c["at"]), F.lit(""))
+            return F.when(c["opens"] == 1, F.lit(mask)).when(F.get(open_, i + 1) == 0, kept).otherwise(F.lit(""))
+
+        return of
+
+    return bound(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK_CHARS}}}"), F.lit(0)), of_blocks)
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.arrays import sum_before
-from .common import python_ready, table
+from .common import free_name, python_ready, table
 from .tokenizing import PieceCounter
 
 LEAF = 32
@@ -148,7 +148,10 @@ _ARROW_STATE = pa.struct([("chars", pa.list_(pa.int32())), ("pieces", pa.list_(p
 
 def with_counts(docs: DataFrame, text_col: str = "text", state_col: str = "tokens", tokenizer: str = TOKENIZER) -> DataFrame:
     """`docs` with `state_col`: the segment tree of each text (STATE), its number of tokens at
-    tree[1]. Null and empty texts have no leaves and 0 tokens. Other columns pass through."""
+    tree[1]. Null and empty texts have no leaves and 0 tokens. Rows, also repeated ones, and
+    other columns pass through; an empty table gives no rows. `state_col` must be free in
+    `docs`, in any case of letters."""
+    refuse_taken(docs, state_col)
     python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +171,9 @@ def after_edits(
     and state are the new ones; added columns old_tokens, encoded (pre-tokens encoded anew).
 
     Null edits are none; edits are clipped to the text, and one that begins inside the one
-    before it is dropped; a null text with edits counts as an empty one."""
+    before it is dropped; a null text with edits counts as an empty one. Rows, also repeated
+    ones, and other columns pass through; the two added names must be free."""
+    refuse_taken(counted, "old_tokens", "encoded")
     python_ready(counted.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,23 +197,32 @@ def after_edits(
     return counted.mapInArrow(run, T.StructType([*counted.schema.fields, T.StructField("old_tokens", T.LongType()), T.StructField("encoded", T.LongType())]))
 
 
-def masking_edits(docs: DataFrame, text_col: str = "text", tag_col: str = "source") -> DataFrame:
-    """`docs` with edits (EDITS): the tag in brackets is put before the text, and `[NUM]` for
-    every run of four digits or more. A null text gets the tag alone."""
+def refuse_taken(df: DataFrame, *names: str) -> None:
+    taken = {c.lower() for c in df.columns}
+    if found := [n for n in names if n.lower() in taken]:
+        raise ValueError(f"there already is a column {', '.join(found)}")
+
+
+def masking_edits(docs: DataFrame, text_col: str = "text", tag_col: str = "source", edits_col: str = "edits") -> DataFrame:
+    """`docs` with `edits_col` (EDITS): the tag in brackets is put before the text, and `[NUM]`
+    for every run of four digits or more. A null text gets the tag alone, a null tag is empty.
+    Rows and other columns pass through; `edits_col` must be free in `docs`."""
+    refuse_taken(docs, edits_col)
+    runs, gaps, before = (free_name(docs, f"_{n}") for n in ("runs", "gaps", "before"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs.withColumn("_runs", F.regexp_extract_all(text, F.lit("[0-9]{4,}"), F.lit(0)))
-    out = out.withColumn("_gaps", F.transform(F.split(text, F.lit("[0-9]{4,}"), F.lit(-1)), F.length))
-    out = out.withColumn("_before", sum_before(F.zip_with("_runs", F.slice("_gaps", F.lit(1), F.size("_runs")), lambda d, g: F.length(d) + g)))
+    out = docs.withColumn(runs, F.regexp_extract_all(text, F.lit("[0-9]{4,}"), F.lit(0)))
+    out = out.withColumn(gaps, F.transform(F.split(text, F.lit("[0-9]{4,}"), F.lit(-1)), F.length))
+    out = out.withColumn(before, sum_before(F.zip_with(runs, F.slice(gaps, F.lit(1), F.size(runs)), lambda d, g: F.length(d) + g)))
 
     def edit(start: Column, end: Column, new: Column) -> Column:
         return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), new.alias("text"))
 
     def mask(run: Column, k: Column) -> Column:
-        start = F.col("_before")[k] + F.col("_gaps")[k]
+        start = F.col(before)[k] + F.col(gaps)[k]
         return edit(start, start + F.length(run), F.lit("[NUM]"))
 
     tag = edit(F.lit(0), F.lit(0), F.concat(F.lit("["), F.coalesce(F.col(tag_col), F.lit("")), F.lit("] ")))
-    return out.withColumn("edits", F.concat(F.array(tag), F.transform("_runs", mask))).drop("_runs", "_gaps", "_before")
+    return out.withColumn(edits_col, F.concat(F.array(tag), F.transform(runs, mask))).drop(runs, gaps, before)
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,7 @@
+import random
 import re
+import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,3 +88,39 @@ def test_hash_collisions_do_not_count(monkeypatch, words):
     monkeypatch.setattr(W.Words, "hashes", lambda self: np.zeros(len(self.starts), dtype=np.uint64))
     (chunk,) = W.chunks(pa.array(["ccc ddd"]))
     assert len(searcher.search(W.words_of(chunk))[0]) == 0
+
+
+def test_sorted_suffixes_and_windows_equal_plain_ones(words):
+    rng = random.Random(4)
+    for _ in range(60):
+        texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 30))) for _ in range(rng.randint(0, 8))]
+        tests = D.TestSuffixes.of(list(enumerate(texts)), 5)
+        ids, ends = tests.ids.tolist(), tests.ends.tolist()
+        suffixes = [ids[p : ends[p]] for p in tests.sorted.tolist()]
+        assert suffixes == sorted(suffixes) and len(suffixes) == sum(len(t.split()) for t in texts)
+        found = {tuple(w[:n]): tests.items_of(k) for k, (w, n) in enumerate(zip(tests.windows.tolist(), tests.lengths.tolist()))}
+        number = {w: k for k, w in enumerate(tests.words, 1)}
+        want = {}
+        for item, text in enumerate(texts):
+            own = [number[w.encode()] for w in text.split()]
+            n = min(5, len(own))
+            for a in range(len(own) - n + 1) if n else ():
+                want.setdefault(tuple(own[a : a + n]), set()).add(item)
+        assert found == want
+
+
+def test_one_item_of_a_megabyte(spark, make_docs, words):
+    """Memory and time grow with the item, also where a document holds all of it."""
+    rng = random.Random(5)
+    item = " ".join(f"t{rng.randrange(3_000)}" for _ in range(200_000))
+    own = item.split()
+    texts = [words(500, 3), "x " + item, " ".join(own[1_000:1_030]), "ab " * 300_000]
+    bench = spark.createDataFrame([(1, item), (2, "ab " * 250_000)], "item_id long, text string")
+    tracemalloc.start()
+    start = time.monotonic()
+    D.TestSuffixes.of([(1, item), (2, "ab " * 250_000)], 10)
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
+    found = D.match_benchmark(make_docs(texts), bench, match_col="m").select("doc_id", "m.longest", F.size("m.runs").alias("n"))
+    assert {r["doc_id"]: (r["longest"], r["n"]) for r in found.collect()} == {0: (0, 0), 1: (200_000, 1), 2: (30, 1), 3: (250_000, 1)}
+    assert time.monotonic() - start < 60

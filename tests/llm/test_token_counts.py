@@ -66,3 +66,15 @@ def test_odd_texts_and_edits(make_docs, edge_texts, spark):
         assert r["tokens"]["tree"][1] == len(encoding.encode_ordinary(r["text"])) and r["text"].startswith("[src0] ")
     assert K.after_edits(K.with_counts(K.masking_edits(make_docs([])))).collect() == []
     assert K.apart([None, {"start": None, "end": 1, "text": "a"}, {"start": 5, "end": 2, "text": None}], 3) == [(3, 3, "")]
+
+
+def test_columns_of_the_caller_stay(spark):
+    docs = spark.createDataFrame([(1, "a 12345 b", "s", 7, 8, 9)], "doc_id long, text string, source string, _RUNS int, _gaps int, _before int")
+    row = K.after_edits(K.with_counts(K.masking_edits(docs))).first()
+    assert (row["_RUNS"], row["_gaps"], row["_before"], row["text"]) == (7, 8, 9, "[s] a [NUM] b")
+    for name, add in (("Tokens", K.with_counts), ("EDITS", K.masking_edits)):
+        with pytest.raises(ValueError, match="already"):
+            add(docs.withColumnRenamed("_gaps", name))
+    with pytest.raises(ValueError, match="encoded"):
+        K.after_edits(K.with_counts(K.masking_edits(docs)).withColumnRenamed("_gaps", "Encoded"))
+    assert K.with_counts(K.masking_edits(docs.limit(0))).collect() == []
