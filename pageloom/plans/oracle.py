@@ -222,9 +222,9 @@ RECURSIVE routes AS (
     FROM customer
 ),
 walk AS (
-    SELECT src, dst AS at, 1::BIGINT AS hops FROM routes
+    SELECT src, dst AS place, 1::BIGINT AS hops FROM routes
     UNION ALL
-    SELECT w.src, r.dst, w.hops + 1 FROM walk w JOIN routes r ON w.at = r.src WHERE w.hops < 20
+    SELECT w.src, r.dst, w.hops + 1 FROM walk w JOIN routes r ON w.place = r.src WHERE w.hops < 20
 )"""
 
 
@@ -410,12 +410,12 @@ def oracle_sql() -> dict[str, str]:
         """'Part of Order ' || l_orderkey || ' }} from {{a Supplier ' || l_suppkey || ' {1}.'""", "2::BIGINT AS residue"
     )
     q["redirect_targets"] = _with(_ROUTES) + f"""
-        SELECT r.src, w.at AS final_dst, w.hops, w.at IS NULL AS in_cycle
-        FROM routes r LEFT JOIN (SELECT * FROM walk WHERE at NOT IN (SELECT src FROM routes)) w USING (src)"""
+        SELECT r.src, w.place AS final_dst, w.hops, w.place IS NULL AS in_cycle
+        FROM routes r LEFT JOIN (SELECT * FROM walk WHERE place NOT IN (SELECT src FROM routes)) w USING (src)"""
     q["links_through_redirects"] = _with(_ROUTES) + f"""
         SELECT '{ID}Stop ' || c_custkey AS src, 1::BIGINT AS seq, '{ID}Route ' || c_custkey AS dst,
-               coalesce(w.at, '{ID}Route ' || c_custkey) AS final_dst
-        FROM customer LEFT JOIN (SELECT * FROM walk WHERE at NOT IN (SELECT src FROM routes)) w ON w.src = '{ID}Route ' || c_custkey
+               coalesce(w.place, '{ID}Route ' || c_custkey) AS final_dst
+        FROM customer LEFT JOIN (SELECT * FROM walk WHERE place NOT IN (SELECT src FROM routes)) w ON w.src = '{ID}Route ' || c_custkey
         UNION ALL
         SELECT '{ID}Stop ' || c_custkey, 2, '{ID}Nation ' || c_nationkey, '{ID}Nation ' || c_nationkey FROM customer"""
     q["resolved_hot_links"] = q["resolved_links"]
