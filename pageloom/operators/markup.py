@@ -573,6 +573,32 @@ def residue(text: Column) -> Column:
     return first + F.when(_has(text, "{{", "}}", "[[", "]]", "\n;", "\n:"), left).otherwise(0)
 
 
+# What can be left in a text, with the name of its kind.
+RESIDUE_KINDS = {
+    "{{": "template_open", "}}": "template_close", "[[": "link_open", "]]": "link_close", ";": "definition_term", ":": "definition",
+}
+_RESIDUE = r"\{\{|\}\}|\[\[|\]\]|(?<![^\n])[;:]"
+
+
+def residue_tokens(text: Column) -> Column:
+    """What no rule understood, as array<struct<kind, start>> in the order of the text: as
+    many as `residue` counts."""
+    kinds = F.create_map(*[F.lit(x) for pair in RESIDUE_KINDS.items() for x in pair])
+    tokens = F.regexp_extract_all(text, F.lit(_RESIDUE), F.lit(0))
+    gaps = F.split(text, F.lit(_RESIDUE), F.lit(-1))
+
+    def placed(found: Column) -> Column:
+        before = sum_before(F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda t, g: F.length(t) + F.length(g)))
+        return bound(
+            F.struct(before.alias("before"), gaps.alias("gaps")),
+            lambda z: F.transform(
+                found, lambda t, i: F.struct(F.element_at(kinds, t).alias("kind"), (F.get(z["before"], i) + F.length(F.get(z["gaps"], i))).alias("start"))
+            ),
+        )
+
+    return bound(tokens, placed)
+
+
 def empty_redirect(wikitext: Column) -> Column:
     """True for a redirect that names no target."""
     return F.rlike(wikitext, F.lit(_EMPTY_REDIRECT))

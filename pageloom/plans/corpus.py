@@ -291,3 +291,64 @@ def nested_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("lineitem.xml").alias("file"),
     )
     return pages
+
+
+def residue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as definition lists, with braces and brackets that nothing closes or opens."""
+    keys = dict(k=F.col("o_orderkey"), c=F.col("o_custkey"), s=F.col("o_orderstatus"))
+    text = fill("; Order {k}\n: by [[Customer {c}]] ⟧ x; y: z\n: [[ {s}\n;]]", **keys)
+    return spread(read_table(spark, sf_dir, "orders")).select(
+        fill("Order {k}", **keys).alias("title"), F.lit(FIXED_TIME).alias("timestamp"), text.alias("wikitext"), F.lit("orders.xml").alias("file")
+    )
+
+
+# Pages of a part whose markup the other pages lack: title and wikitext.
+RARE = {
+    "Bare": "See http://p.example/{k} now, {n}.",
+    "Rule": "a {n}\n\nb\n----\nc",
+    "Steps": "# one [[Part {k}]]\n# two\n## three",
+    "Only": "⟦only|{k}⟧",
+    "Moved": "#REDIRECT [[Part {k}]] see [[{b}]] and [[Part {k}#x|it]]",
+    "Twice": "first [[Part {k}]]",
+}
+SECOND_REVISION = "<revision><text> and [[second]]</text></revision>"
+
+
+def rare_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw pages of `RARE`; those titled Twice have a second revision."""
+    keys = dict(k=F.col("p_partkey"), n=F.col("p_name"), b=F.col("p_brand"))
+    entries = [F.struct(fill(name + " {k}", **keys).alias("title"), fill(text, **keys).alias("wikitext")) for name, text in RARE.items()]
+    pages = spread(read_table(spark, sf_dir, "part")).select(F.inline(F.array(*entries)))
+    raw = page_xml(pages.withColumns({"timestamp": F.lit(FIXED_TIME), "file": F.lit("part.xml")}))
+    end = F.lit("</revision>")
+    twice = F.replace("raw", end, F.concat(end, F.lit(SECOND_REVISION)))
+    return raw.withColumn("raw", F.when(F.contains("raw", F.lit("<title>Twice")), twice).otherwise(F.col("raw")))
+
+
+def ontology_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ontology document, line by line (n, value): a class per region, and a property per
+    nation, which leads from pages to its region. Names stand behind a declared entity."""
+    head = [
+        '<?xml version="1.0"?>', "<!DOCTYPE rdf:RDF [", '  <!ENTITY here "http://world.example/" >', "]>",
+        '<rdf:RDF xmlns:owl="http://www.w3.org/2002/07/owl#" xmlns:x="http://x.example/#">',
+        '  <!-- <owl:Class rdf:about="&here;hidden"/> -->',
+    ]
+    region, nation = (read_table(spark, sf_dir, t) for t in ("region", "nation"))
+    classes = region.select(
+        (F.col("r_regionkey") + 100).cast("long").alias("n"),
+        fill(
+            '  <owl:Class rdf:about="&here;region{k}"><rdfs:label xml:lang="en">{n}</rdfs:label>'
+            '<x:displayType xml:lang="en">place</x:displayType></owl:Class>',
+            k=F.col("r_regionkey"), n=F.col("r_name"),
+        ).alias("value"),
+    )
+    properties = nation.select(
+        (F.col("n_nationkey") + 100_000).cast("long").alias("n"),
+        fill(
+            '  <owl:ObjectProperty rdf:about="&here;in{k}"><rdfs:label xml:lang="en">in {n}</rdfs:label>'
+            '<rdfs:domain rdf:resource="&here;page"/><rdfs:range rdf:resource="&here;region{r}"/></owl:ObjectProperty>',
+            k=F.col("n_nationkey"), n=F.col("n_name"), r=F.col("n_regionkey"),
+        ).alias("value"),
+    )
+    frame = spark.createDataFrame([*enumerate(head), (10**12, "</rdf:RDF>")], "n long, value string")
+    return frame.unionByName(classes).unionByName(properties)

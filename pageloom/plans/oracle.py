@@ -211,6 +211,14 @@ def _deep(text: str, *more: str) -> str:
     return f"""SELECT '{ID}' || {_LOT_TITLE} AS vertex_id, {', '.join([text + ' AS text', *more])} FROM lineitem"""
 
 
+# The text of a page of `residue_pages`, cut where something is left in it.
+_RESIDUE = f"""
+pieces AS (
+    SELECT '{ID}Order ' || o_orderkey AS vertex_id, '; Order ' || o_orderkey || E'\\n' AS a,
+           ': by Customer ' || o_custkey || ' ' AS b, E'}}}} x; y: z\\n' AS c, ': [[ ' || o_orderstatus || E'\\n' AS d
+    FROM orders
+)"""
+
 # Redirects as links of a list, followed one by one.
 _ROUTES = f"""
 RECURSIVE routes AS (
@@ -409,8 +417,48 @@ def oracle_sql() -> dict[str, str]:
     q["deep_templates"] = _deep(
         """'Part of Order ' || l_orderkey || ' }} from {{a Supplier ' || l_suppkey || ' {1}.'""", "2::BIGINT AS residue"
     )
+    q["residue_kinds"] = _with(_RESIDUE) + """
+        SELECT vertex_id, 7::BIGINT AS residue, k.n::BIGINT AS n, k.kind,
+               CASE k.n WHEN 0 THEN 0 WHEN 1 THEN length(a) WHEN 2 THEN length(a || b) WHEN 3 THEN length(a || b || c)
+                   WHEN 4 THEN length(a || b || c) + 2 WHEN 5 THEN length(a || b || c || d) ELSE length(a || b || c || d) + 1 END::BIGINT AS start_at
+        FROM pieces, (VALUES (0, 'definition_term'), (1, 'definition'), (2, 'template_close'), (3, 'definition'),
+            (4, 'link_open'), (5, 'definition_term'), (6, 'link_close')) k(n, kind)"""
+    q["rare_markup"] = f"""
+        SELECT '{ID}' || k.name || ' ' || p_partkey AS vertex_id,
+            CASE k.name
+                WHEN 'Bare' THEN 'See http://p.example/' || p_partkey || ' now, ' || p_name || '.'
+                WHEN 'Rule' THEN 'a ' || p_name || E'\n\nb\n\nc'
+                WHEN 'Steps' THEN 'one Part ' || p_partkey || E'\ntwo\nthree'
+                WHEN 'Only' THEN '{{{{only|' || p_partkey || '}}}}'
+                WHEN 'Moved' THEN 'REDIRECT: Part ' || p_partkey || ' see ' || p_brand || ' and it'
+                ELSE 'first Part ' || p_partkey || ' and second' END AS text,
+            CASE k.name
+                WHEN 'Steps' THEN 'internal:Part ' || p_partkey || ':4:' || (9 + length(p_partkey::VARCHAR))
+                WHEN 'Moved' THEN 'internal:' || p_brand || ':' || (20 + length(p_partkey::VARCHAR)) || ':' || (20 + length(p_partkey || p_brand))
+                    || ';internal:Part ' || p_partkey || '#x:' || (25 + length(p_partkey || p_brand)) || ':' || (27 + length(p_partkey || p_brand))
+                    || ';redirect:Part ' || p_partkey || ':10:' || (15 + length(p_partkey::VARCHAR))
+                WHEN 'Twice' THEN 'internal:Part ' || p_partkey || ':6:' || (11 + length(p_partkey::VARCHAR))
+                    || ';internal:second:' || (16 + length(p_partkey::VARCHAR)) || ':' || (22 + length(p_partkey::VARCHAR))
+                ELSE '' END AS links
+        FROM part, (VALUES ('Bare'), ('Rule'), ('Steps'), ('Only'), ('Moved'), ('Twice')) k(name)"""
+    q["ontology_terms"] = """
+        SELECT 'concept' AS kind, 'http://world.example/region' || r_regionkey AS iri, r_name AS label, 'place' AS display_type,
+               NULL AS domain_iri, NULL AS range_iri FROM region
+        UNION ALL
+        SELECT 'relationship', 'http://world.example/in' || n_nationkey, 'in ' || n_name, NULL, 'http://world.example/page',
+               'http://world.example/region' || n_regionkey FROM nation
+        UNION ALL SELECT 'missing', 'http://world.example/page', NULL, NULL, NULL, NULL"""
+    q["sink_keys"] = _with(CORPUS, LINKS, VERTICES) + """
+        SELECT vertex_id, 'vertices' || chr(31) || to_base64(encode(vertex_id)) AS sink_key, 'vertices' AS table_name FROM vertices"""
+    q["file_names"] = _with(CORPUS) + f"""
+        SELECT '{ID}' || name AS vertex_id, true AS same FROM corpus"""
+    q["sink_layout"] = _with(CORPUS, LINKS, VERTICES) + """
+        SELECT *, 0::BIGINT AS n_unsorted, 0::BIGINT AS n_overlaps, true AS even FROM (
+            SELECT 'vertices' AS table_name, count(*) AS n_rows, 0::BIGINT AS n_repeated FROM vertices
+            UNION ALL SELECT 'edges', count(*), 0 FROM (SELECT DISTINCT src, dst FROM links)
+            UNION ALL SELECT 'audits', sum(n)::BIGINT, count(*) FILTER (n > 1) FROM (SELECT name, count(*) AS n FROM corpus GROUP BY name))"""
     q["redirect_targets"] = _with(_ROUTES) + f"""
-        SELECT r.src, w.place AS final_dst, w.hops, w.place IS NULL AS in_cycle
+        SELECT r.src, w.place AS final_dst, coalesce(w.hops, 0) AS hops, w.place IS NULL AS in_cycle
         FROM routes r LEFT JOIN (SELECT * FROM walk WHERE place NOT IN (SELECT src FROM routes)) w USING (src)"""
     q["links_through_redirects"] = _with(_ROUTES) + f"""
         SELECT '{ID}Stop ' || c_custkey AS src, 1::BIGINT AS seq, '{ID}Route ' || c_custkey AS dst,

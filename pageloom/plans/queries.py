@@ -6,11 +6,11 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.ids import title_from_id
+from ..functions.ids import sink_key, split_key, title_from_id
 from ..functions.strings import unescape_newlines
 from ..operators import graph as G
 from ..operators import layout as L
@@ -18,10 +18,11 @@ from ..operators import merge as M
 from ..sources.stage import stage, work_dir
 from ..operators.html import html_pages
 from ..operators.joins import check_edge_types, resolve_links, stubs_only
+from ..operators.markup import residue_tokens
 from ..operators.parse import build_pages, good_pages, import_counters, parse_pages, quarantine
 from ..operators.redirects import follow_redirects, redirects_of, through_redirects
 from ..sources.dump import PAGE_CLOSE, page_line, read_dump, read_page_lines, write_page_lines
-from ..sources.ontology import check_ontology, default_ontology
+from ..sources.ontology import check_ontology, default_ontology, missing_terms, read_ontology
 from ..streaming.incremental import batch_counters, compact, read_merged, stream_import, stream_pages
 from . import corpus as K
 from .importer import import_pages, read_tables, run_import, superseded_pages
@@ -136,6 +137,23 @@ def deep_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("vertex_id", "text", F.col("residue").cast("long").alias("residue"))
 
 
+@query
+def residue_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markup that is left in the texts: of which kind, and where."""
+    pages = good_pages(build_pages(K.page_xml(K.residue_pages(spark, sf_dir))))
+    rows = pages.select("vertex_id", "residue", F.posexplode(residue_tokens(F.col("text"))).alias("n", "token"))
+    return rows.select("vertex_id", *[F.col(c).cast("long").alias(c) for c in ("residue", "n")], "token.kind", F.col("token.start").cast("long").alias("start_at"))
+
+
+@query
+def rare_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bare addresses, rules, numbered lists, pages that convert to nothing, redirects with
+    further links, and two revisions."""
+    pages = good_pages(build_pages(K.rare_pages(spark, sf_dir)))
+    link = lambda k: F.concat_ws(":", k["kind"], k["target"], k["start"], k["end"])
+    return pages.select("vertex_id", "text", F.array_join(F.transform("links", link), ";").alias("links"))
+
+
 # --- links and graph -------------------------------------------------------------
 
 
@@ -271,7 +289,8 @@ def best_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redirect_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every redirect leads: chains, ends without a page, and circles."""
     pages = _redirect_pages(spark, sf_dir)
-    return follow_redirects(redirects_of(M.current_pages(pages))).withColumnRenamed("target", "final_dst")
+    ways = follow_redirects(redirects_of(M.current_pages(pages)))
+    return ways.select("src", F.col("target").alias("final_dst"), F.coalesce("hops", F.lit(0)).alias("hops"), "in_cycle")
 
 
 @query
@@ -326,6 +345,59 @@ def edge_type_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_edge_types(rows, typed, relationships).select("edge_id", "src", "dst", "violation")
 
 
+@query
+def ontology_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ontology document, written and read again, and a term that it lacks."""
+    path = f"{work_dir(spark)}/ontology"
+    K.ontology_lines(spark, sf_dir).coalesce(1).sortWithinPartitions("n").select("value").write.text(path)
+    concepts, relationships = read_ontology(spark, path)
+    missing = missing_terms(concepts, ["http://world.example/region0", "http://world.example/page"])
+    nothing = F.lit(None).cast("string")
+    return (
+        concepts.select(F.lit("concept").alias("kind"), "iri", "label", "display_type", nothing.alias("domain_iri"), nothing.alias("range_iri"))
+        .unionByName(relationships.select(F.lit("relationship").alias("kind"), "iri", "label", nothing.alias("display_type"), "domain_iri", "range_iri"))
+        .unionByName(missing.select(F.lit("missing").alias("kind"), "iri", *[nothing.alias(c) for c in ("label", "display_type", "domain_iri", "range_iri")]))
+    )
+
+
+@query
+def sink_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The composite key of every vertex row, and the table that it names."""
+    rows = M.graph_vertices(_good_stored(spark, sf_dir))
+    key = sink_key(F.lit(C.VERTICES), L.row_key(C.VERTICES))
+    return rows.select("vertex_id", key.alias("sink_key"), split_key(key).alias("table_name"))
+
+
+@query
+def sink_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables in key order, file by file, and their split points: rows, files whose ranges
+    overlap, rows out of order, keys that occur more than once, and whether no split holds
+    more than three even shares."""
+    folder, files = work_dir(spark), 6
+    tables = _tables(_good_stored(spark, sf_dir))
+    out = []
+    for name, df in tables.items():
+        L.range_layout(df, L.ROW_KEYS[name], files).write.parquet(f"{folder}/{name}")
+        key, source = L.row_key(name).alias("k"), F.col("_metadata.file_path").alias("f")
+        stored = spark.read.parquet(f"{folder}/{name}").select(key, source, F.monotonically_increasing_id().alias("i"))
+        in_file = Window.partitionBy("f").orderBy("i")
+        unsorted = stored.select(F.lag("k").over(in_file).alias("before"), "k").where("before > k").agg(F.count("*").alias("n_unsorted"))
+        ranges = stored.groupBy("f").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))  # a row per file
+        overlap = ranges.select(F.lag("hi").over(Window.orderBy("lo")).alias("before"), "lo").where("before > lo").agg(F.count("*").alias("n_overlaps"))
+        total = stored.agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"))
+        out.append(total.crossJoin(unsorted).crossJoin(overlap))  # single rows
+    keyed = stage(L.union_outputs({name: spark.read.parquet(f"{folder}/{name}") for name in tables}), "keyed")
+    splits = L.split_points(keyed, files).groupBy("table_name").agg(F.sort_array(F.collect_list("split_key")).alias("splits"))
+    keys = L.rows_per_key(keyed)
+    dealt = keys.join(F.broadcast(splits), "table_name", "left")  # a row per table, `files` points at most
+    part = F.size(F.filter(F.coalesce("splits", F.array().cast("array<string>")), lambda s: s <= F.col("row_key")))
+    shares = dealt.groupBy("table_name", part.alias("part")).agg(F.count("*").alias("n"), F.count_if(F.col("n_rows") > 1).alias("r"))
+    even = shares.groupBy("table_name").agg(
+        F.sum("r").alias("n_repeated"), (F.max("n") <= F.ceil(3 * F.sum("n") / F.count("*"))).alias("even")
+    )
+    return reduce(DataFrame.unionByName, out).join(even, "table_name")
+
+
 # --- HTML ------------------------------------------------------------------------
 
 
@@ -414,6 +486,14 @@ def dump_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fields(parse_pages(read_dump(spark, _dump_files(spark, sf_dir))))
 
 
+@query
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each page's file name is that of the file it was read from."""
+    pages = good_pages(build_pages(read_dump(spark, _dump_files(spark, sf_dir))))
+    named = G.page_properties(pages, carry=("file_path",)).where(F.col("name") == C.FILE_NAME)
+    return named.select("vertex_id", (F.substring_index("file_path", "/", -1) == F.col("value")).alias("same"))
+
+
 @query
 def page_line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written one per line and read again."""
