@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..sources.buckets import bucketed, buckets_for
+from ..sources.stage import stage
 
 
 def is_small(df: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> bool:
@@ -61,6 +63,25 @@ def resolve_links(
     return spread.join(wanted, ["dst", "_bucket"], "left_semi").drop("_bucket", "_buckets")
 
 
+def resolve_bucketed(links: DataFrame, known: DataFrame, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> DataFrame:
+    """Links whose target is in `known` (vertex_id, each once), both stored in buckets of the
+    target, so that the join itself exchanges nothing; for links that are resolved again and
+    again, against other pages. A target that owns more than `cfg.hot_key_rows` links stays
+    out of the buckets: there are at most links / hot_key_rows of them, which are broadcast.
+    """
+    counts = links.groupBy("dst").agg(F.count(F.lit(1)).alias("_n"))
+    hot = stage(counts.where(F.col("_n") > cfg.hot_key_rows).select("dst"), "hot")
+    target = known.select(F.col("vertex_id").alias("dst"))
+    buckets = buckets_for(links.count())
+    stored = bucketed(links.join(F.broadcast(hot), "dst", "left_anti"), "dst", buckets)
+    # Merge join: both sides come sorted, and neither is collected.
+    found = stored.join(bucketed(target, "dst", buckets).hint("merge"), "dst", "left_semi")
+    if hot.isEmpty():
+        return found
+    known_hot = target.join(F.broadcast(hot), "dst", "left_semi")
+    return found.unionByName(links.join(F.broadcast(known_hot), "dst", "left_semi").select(*found.columns))
+
+
 def stubs_only(vertices: DataFrame) -> DataFrame:
     """Vertices that are linked to but have no page."""
     return vertices.where("is_stub")

@@ -501,14 +501,14 @@ def keep_apart(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 @lru_cache(maxsize=1024)
-def _build(gateway: int, make: Callable[..., Column], *args: str) -> Column:
+def _build(gateway: object, make: Callable[..., Column], *args: str) -> Column:
     """Columns are plain descriptions: build each once per JVM, it is thousands of
     calls otherwise each time a conversion is planned."""
     return make(*(F.col(a) for a in args))
 
 
 def built(make: Callable[..., Column], *args: str) -> Column:
-    return _build(id(SparkContext._gateway), make, *args)
+    return _build(SparkContext._gateway, make, *args)
 
 
 def apply_rules(df: DataFrame, column: str, rules: Sequence[Rule]) -> DataFrame:

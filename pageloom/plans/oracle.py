@@ -467,6 +467,8 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL
         SELECT '{ID}Stop ' || c_custkey, 2, '{ID}Nation ' || c_nationkey, '{ID}Nation ' || c_nationkey FROM customer"""
     q["resolved_hot_links"] = q["resolved_links"]
+    q["resolved_bucketed_links"] = q["resolved_links"]
+    q["merged_properties"] = q["vertex_properties"]
     q["import_files"] = q["import_tables"]
     q["dump_files"] = f"SELECT vertex_id, title, wikitext, published, source_url, status FROM ({q['pages_fields']})"
     q["page_line_files"] = f"SELECT vertex_id, wikitext, status FROM ({q['page_line_roundtrip']})"

@@ -17,10 +17,11 @@ from ..operators import layout as L
 from ..operators import merge as M
 from ..sources.stage import stage, work_dir
 from ..operators.html import html_pages
-from ..operators.joins import check_edge_types, resolve_links, stubs_only
+from ..operators.joins import check_edge_types, resolve_bucketed, resolve_links, stubs_only
 from ..operators.markup import residue_tokens
 from ..operators.parse import build_pages, good_pages, import_counters, parse_pages, quarantine
 from ..operators.redirects import follow_redirects, redirects_of, through_redirects
+from ..sources.buckets import bucketed, buckets_for
 from ..sources.dump import PAGE_CLOSE, page_line, read_dump, read_page_lines, write_page_lines
 from ..sources.ontology import check_ontology, default_ontology, missing_terms, read_ontology
 from ..streaming.incremental import batch_counters, compact, read_merged, stream_import, stream_pages
@@ -206,6 +207,29 @@ def _resolve(how: str, cfg: C.ImportConfig = C.DEFAULT_CONFIG) -> Query:
     return run
 
 
+@query
+def resolved_bucketed_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links whose targets have pages, joined bucket by bucket."""
+    pages = _good_stored(spark, sf_dir)
+    links = G.all_links(pages).select("src", F.col("seq").cast("long").alias("seq"), "dst", "target")
+    known = G.page_vertices(pages).select("vertex_id").distinct()
+    return resolve_bucketed(links, known).select("src", "seq", "dst", "target")
+
+
+@query
+def merged_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The general merge: property rows of all pages and links, stored by vertex, of which one
+    stays per vertex, name and key."""
+    pages = _good_stored(spark, sf_dir)
+    nothing = [F.lit(None).cast(pages.schema[c].dataType).alias(c) for c in G.RANK_COLUMNS]
+    own = G.page_properties(pages, carry=G.RANK_COLUMNS).withColumn("own", F.lit(True))
+    targets = G.distinct_targets(pages)
+    linked = G.stub_properties(targets).unionByName(G.stub_titles(targets)).select("*", *nothing, F.lit(False).alias("own"))
+    rows = own.unionByName(linked)
+    merged = M.merge_properties(bucketed(rows, "vertex_id", buckets_for(rows.count())))
+    return merged.select("vertex_id", "name", "key", "value", _flat("metadata").alias("metadata"))
+
+
 @query
 def vertex_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _good_stored(spark, sf_dir)

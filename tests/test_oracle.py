@@ -15,6 +15,7 @@ FAST = (
     "html_links", "html_edges", "html_text", "resolved_links", "import_counters", "quarantine", "title_candidates",
     "import_tables", "stream_tables", "stream_counters", "quarantine_positions", "deep_templates", "redirect_targets",
     "links_through_redirects", "residue_kinds", "rare_markup", "ontology_terms", "sink_keys", "sink_layout", "file_names",
+    "resolved_bucketed_links", "merged_properties",
 )
 NAMES = tuple(entry.oracle_sql()) if os.environ.get("PAGELOOM_ALL_QUERIES") else FAST
 
