@@ -185,6 +185,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
     return state.select(*own, sequence.alias("sequence_id"), "offset")
 
 
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
+    """Sequences of a packed table (columns sequence_id and length), and how many there must be
+    at least: equal numbers prove the packing, else their difference is the gap that was left
+    when the rounds ended. Counts of lengths, `capacity` rows at most, are all that is read."""
+    lengths = sorted((r["length"], r["n"]) for r in packed.groupBy("length").agg(F.count("*").alias("n")).collect())
+    sizes, counts = (np.array(x, dtype=np.int64) for x in (zip(*lengths, strict=True) if lengths else ((), ())))
+    n = packed.groupBy("sequence_id").agg(F.lit(1)).count()
+    return n, bound_of_counts(sizes, counts, capacity)
+
+
 def _standing(state: DataFrame) -> tuple[int, int]:
     """Sequences; partitions with sequences that can be given up."""
     bins = state.groupBy("part", "bin").agg(F.max("loose").alias("loose"))

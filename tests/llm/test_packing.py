@@ -65,6 +65,9 @@ def test_parts_with_gaps_meet_and_improve(spark):
     n = check(rows, 100)
     alone = len(set(P.best_fit_decreasing(np.array(sizes), 100).tolist()))
     assert n <= alone + 6, (n, alone)
+    packed = spark.createDataFrame([(r["sequence_id"], r["length"]) for r in rows], "sequence_id long, length long")
+    assert P.certificate(packed, 100) == (n, P.lower_bound(np.array(sizes), 100))
+    assert P.certificate(packed.limit(0), 100) == (0, 0)
 
 
 def test_documents_become_pieces(make_docs, edge_texts, tokenizer):
