@@ -11,7 +11,7 @@ KEY_SEPARATOR = "\u001f"
 
 def java_trim(c: Column) -> Column:
     """Drop every character up to U+0020 from both ends (`trim` drops spaces only)."""
-    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+\z", "")
+    return F.btrim(c, F.lit("".join(map(chr, range(0x21)))))
 
 
 def unescape_newlines(c: Column) -> Column:

@@ -311,8 +311,13 @@ def hide_images(c: Column) -> Column:
     return _where(_has(c, "[["), c, F.regexp_replace(c, _IMAGE, ""))
 
 
+def _may_redirect(c: Column) -> Column:
+    return F.startswith(F.ltrim(c, F.lit(" \t\r\n\x0b\x0c")), F.lit("#"))
+
+
 def name_redirect(c: Column) -> Column:
-    return F.regexp_replace(c, _REDIRECT, f"REDIRECT: [[{REDIRECT}$1]]{REDIRECT}")
+    named = F.regexp_replace(c, _REDIRECT, f"REDIRECT: [[{REDIRECT}$1]]{REDIRECT}")
+    return _where(_may_redirect(c), c, named)
 
 
 def drop_redirect_mark(c: Column) -> Column:
@@ -363,7 +368,7 @@ def mark_blocks(c: Column) -> Column:
 
 def mark_blank_lines(c: Column) -> Column:
     """A paragraph ends at a blank line."""
-    return F.regexp_replace(c, r"\n(?:[ \t]*+\n)++", GAP + "\n")
+    return _where(_has(c, "\n\n", "\n ", "\n\t"), c, F.regexp_replace(c, r"\n(?:[ \t]*+\n)++", GAP + "\n"))
 
 
 def mark_items(c: Column) -> Column:
@@ -601,7 +606,7 @@ def residue_tokens(text: Column) -> Column:
 
 def empty_redirect(wikitext: Column) -> Column:
     """True for a redirect that names no target."""
-    return F.rlike(wikitext, F.lit(_EMPTY_REDIRECT))
+    return _may_redirect(wikitext) & F.rlike(wikitext, F.lit(_EMPTY_REDIRECT))
 
 
 def convert_markup(

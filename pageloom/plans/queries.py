@@ -395,8 +395,8 @@ def sink_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sink_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables in key order, file by file, and their split points: rows, files whose ranges
-    overlap, rows out of order, keys that occur more than once, and whether no split holds
-    more than three even shares."""
+    overlap, rows out of order, keys that occur more than once, and whether every part between
+    two splits holds an even share of the rows, but for the stated error."""
     folder, files = work_dir(spark), 6
     tables = _tables(_good_stored(spark, sf_dir))
     out = []
@@ -415,10 +415,13 @@ def sink_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = L.rows_per_key(keyed)
     dealt = keys.join(F.broadcast(splits), "table_name", "left")  # a row per table, `files` points at most
     part = F.size(F.filter(F.coalesce("splits", F.array().cast("array<string>")), lambda s: s <= F.col("row_key")))
-    shares = dealt.groupBy("table_name", part.alias("part")).agg(F.count("*").alias("n"), F.count_if(F.col("n_rows") > 1).alias("r"))
-    even = shares.groupBy("table_name").agg(
-        F.sum("r").alias("n_repeated"), (F.max("n") <= F.ceil(3 * F.sum("n") / F.count("*"))).alias("even")
+    shares = dealt.groupBy("table_name", part.alias("part")).agg(
+        F.sum("n_rows").alias("n"), F.count_if(F.col("n_rows") > 1).alias("r"), F.max("n_rows").alias("most")
     )
+    share = F.sum("n") / files
+    error = F.greatest(F.max("most"), F.ceil(share * L.SPLIT_ERROR))
+    even = (F.count("*") == files) & (F.max("n") <= share + error + 1) & (F.min("n") >= share - error - 1)
+    even = shares.groupBy("table_name").agg(F.sum("r").alias("n_repeated"), even.alias("even"))
     return reduce(DataFrame.unionByName, out).join(even, "table_name")
 
 
