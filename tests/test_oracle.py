@@ -12,10 +12,10 @@ FAST = (
     "pages_fields", "page_line_roundtrip", "plain_text", "external_links", "link_targets", "edges",
     "vertices", "vertex_properties", "vertex_data", "term_mentions", "best_title", "dump_files", "page_line_files",
     "edge_type_violations", "hidden_markup", "tables_text", "section_numbers", "entities_decoded",
-    "html_links", "html_edges", "html_text", "resolved_links", "import_counters", "quarantine", "title_candidates",
-    "import_tables", "stream_tables", "stream_counters", "quarantine_positions", "deep_templates", "redirect_targets",
+    "html_links", "html_edges", "html_text", "resolved_links", "import_counters", "quarantine",
+    "stream_tables", "stream_counters", "quarantine_positions", "deep_templates",
     "links_through_redirects", "residue_kinds", "rare_markup", "ontology_terms", "sink_keys", "sink_layout", "file_names",
-    "resolved_bucketed_links", "merged_properties",
+    "resolved_bucketed_links",
 )
 NAMES = tuple(entry.oracle_sql()) if os.environ.get("PAGELOOM_ALL_QUERIES") else FAST
 
