@@ -26,3 +26,8 @@ def test_targets_are_counted_once(spark, written, cfg):
         found = joins.resolve_links(links, known, how, cfg).collect()
         assert sorted((r.src, r.dst) for r in found) == sorted((r[0], r[2]) for r in rows if r[2] in wanted)
     assert written == ["targets", "targets"]
+
+
+def test_vertex_properties_explode_links_once(spark, sf_dir, written):
+    Q.vertex_properties(spark, sf_dir)
+    assert written == [C.PAGES, "targets"]
