@@ -5,7 +5,9 @@ from dataclasses import replace
 import pytest
 
 from pageloom import config as C
+from pageloom.operators import graph as G
 from pageloom.operators import joins
+from pageloom.operators import merge as M
 from pageloom.plans import queries as Q
 
 
@@ -31,3 +33,19 @@ def test_targets_are_counted_once(spark, written, cfg):
 def test_vertex_properties_explode_links_once(spark, sf_dir, written):
     Q.vertex_properties(spark, sf_dir)
     assert written == [C.PAGES, "targets"]
+
+
+@pytest.mark.parametrize("name", ["vertices", "stub_vertices", "title_buckets", "sink_keys"])
+def test_vertices_take_one_pass_over_the_pages(spark, sf_dir, written, name):
+    plan = Q.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert written == [] and plan.count("l_orderkey") > 0 and plan.count("Union") == 1
+
+
+def test_vertices_of_one_pass_are_the_merged_ones(spark):
+    schema = "vertex_id string, links array<struct<target string>>"
+    rows = [("p_A", [("B#x",), ("B",), (" A",), ("#s",)]), ("p_A", []), ("p_C", None), ("p_D", [("C",), (None,)])]
+    cfg = replace(C.DEFAULT_CONFIG, id_prefix="p_")
+    pages = spark.createDataFrame(rows, schema)
+    own = G.page_vertices(pages, cfg).unionByName(G.stub_vertices(G.distinct_targets(pages, cfg), cfg))
+    found, wanted = (sorted(map(tuple, df.collect())) for df in (M.graph_vertices(pages, cfg), M.merge_vertices(own)))
+    assert found == wanted and [(v, stub) for v, _, stub in found] == [("p_#s", True), ("p_A", False), ("p_B", True), ("p_C", False), ("p_D", False)]
