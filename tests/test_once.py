@@ -49,3 +49,19 @@ def test_vertices_of_one_pass_are_the_merged_ones(spark):
     own = G.page_vertices(pages, cfg).unionByName(G.stub_vertices(G.distinct_targets(pages, cfg), cfg))
     found, wanted = (sorted(map(tuple, df.collect())) for df in (M.graph_vertices(pages, cfg), M.merge_vertices(own)))
     assert found == wanted and [(v, stub) for v, _, stub in found] == [("p_#s", True), ("p_A", False), ("p_B", True), ("p_C", False), ("p_D", False)]
+
+
+@pytest.mark.parametrize("cfg", [C.DEFAULT_CONFIG, replace(C.DEFAULT_CONFIG, broadcast_rows=0)])
+def test_edge_types_are_checked_once_per_end_point(spark, written, cfg):
+    edges = [("a", "b", "is"), ("a", "b", "is"), ("c", "a", "is"), ("a", "c", "has"), ("a", "x", "is")]
+    edges = spark.createDataFrame(edges, "src string, dst string, label string")
+    typed = spark.createDataFrame([("a", "page"), ("b", "page"), ("c", "other")], "vertex_id string, concept_type string")
+    rules = spark.createDataFrame([("is", "page", "page")], "iri string, domain_iri string, range_iri string")
+    found = sorted((r.src, r.dst, r.label, r.violation) for r in joins.check_edge_types(edges, typed, rules, cfg).collect())
+    assert found == [("a", "c", "has", "domain"), ("a", "c", "has", "range"), ("a", "x", "is", "range"), ("c", "a", "is", "domain")]
+    assert written == ["wrong"]
+
+
+def test_edges_do_not_shuffle_to_be_checked(spark, sf_dir, written):
+    plan = Q.edge_type_violations(spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    assert written == [C.PAGES, "wrong"] and "SortMergeJoin" not in plan
