@@ -65,3 +65,8 @@ def test_edge_types_are_checked_once_per_end_point(spark, written, cfg):
 def test_edges_do_not_shuffle_to_be_checked(spark, sf_dir, written):
     plan = Q.edge_type_violations(spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
     assert written == [C.PAGES, "wrong"] and "SortMergeJoin" not in plan
+
+
+def test_properties_are_merged_where_vertices_are_stored(spark, sf_dir, written):
+    plan = Q.merged_properties(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert written == [C.PAGES, "targets"] and plan.count("Exchange") == 0 and plan.count("Scan parquet") == 1
