@@ -1,12 +1,13 @@
 """Cheaper ways to the same result: plain pages, matched braces, links without texts."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from pageloom.functions.xmltext import is_plain_page
-from pageloom.operators import parse
+from pageloom.operators import markup, parse
 from pageloom.operators.markup import count_braces, match_braces
 from pageloom.operators.parse import build_pages, parse_pages
 from pageloom.plans import corpus as K
@@ -62,3 +63,24 @@ def test_links_without_texts_are_the_same_links(spark, sf_dir):
     links = F.transform("links", lambda k: F.struct(k["kind"], k["target"])).alias("links")
     full, bare = (build_pages(pages, texts=t).select("vertex_id", "content_md5", "status", links) for t in (True, False))
     assert full.exceptAll(bare).isEmpty() and bare.exceptAll(full).isEmpty()
+
+
+def test_deep_braces_cost_a_fraction_of_counting_them(spark):
+    mountain = [F.repeat(F.lit("{{n|k="), F.lit(60)), F.col("id").cast("string"), F.repeat(F.lit(" }}"), F.lit(60)), F.lit(" of ")]
+    df = spark.range(0, 3000, 1, 4).select(F.concat(*mountain, *mountain).alias("t"))
+
+    def seconds(match):
+        start = time.monotonic()
+        assert df.where(match(F.col("t")) != " of  of ").isEmpty()
+        return time.monotonic() - start
+
+    matched, counted = (min(seconds(match) for _ in range(3)) for match in (match_braces, count_braces))
+    assert matched * 3 < counted
+
+
+def test_more_hills_than_a_block_holds(spark):
+    n = markup._HILLS
+    texts = ["{{a}} b" * (3 * n), "{{a}} {{b" * (2 * n) + "}} c" * n, "{{o" + "{{a}} }} {{b" * (4 * n) + "}}"]
+    texts += ["{{a" * n + "b}} c" * n, "x}} {{a}} {{" * (2 * n)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(match_braces(F.col("t")) != count_braces(F.col("t"))).isEmpty()
