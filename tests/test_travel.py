@@ -7,6 +7,7 @@ import pytest
 
 from pageloom import config as C
 from pageloom.operators import graph as G
+from pageloom.operators import joins
 from pageloom.operators import merge as M
 from pageloom.operators.parse import build_pages
 from pageloom.plans import corpus as K
@@ -79,3 +80,17 @@ def test_arriving_and_page_line_files_are_packed_and_bounded(spark, sf_dir, monk
     lines = Q.page_line_files(spark, sf_dir)
     files = spark.read.text(f"{folders[0]}/lines").inputFiles()
     assert all(f.endswith(".gz") for f in files) and len(files) > lines.count() // 1000
+
+
+def test_links_shuffle_once_to_be_resolved(spark):
+    """Also where very many targets are hot: which class is, is known everywhere."""
+    rows = [(f"s{i}", i, f"d{i % 7}" if i % 9 else None, None, None) for i in range(90)]
+    links = spark.createDataFrame(rows, "src string, seq int, dst string, start int, end int")
+    known = spark.createDataFrame([("d1", False), ("d3", False), ("d4", True)], "vertex_id string, is_stub boolean")
+    cfg = C.ImportConfig(broadcast_rows=0, hot_key_rows=2, salt_buckets=3)
+    for how, wanted in (("left_semi", {"d1", "d3"}), ("left_anti", {"d0", "d2", "d4", "d5", "d6"})):
+        found = joins.resolve_links(links, known, how, cfg)
+        assert found.columns == ["dst", "src", "seq", "start", "end"]
+        assert sorted(r.seq for r in found.collect()) == [i for _, i, dst, _, _ in rows if dst in wanted]
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join") - plan.count("rightHint=(strategy=broadcast)") == 1
